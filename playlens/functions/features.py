@@ -30,9 +30,13 @@ def calendar_features(ts):
 
 
 def completion_pct(watched, total):
-    """Watched share in percent, two places, ties to the even digit; NULL for total 0."""
-    share = F.try_divide(_column(watched).cast(PERCENT) * 100, _column(total).cast(PERCENT))
-    return F.bround(share, 2).cast(PERCENT)
+    """Watched share in percent, two places; NULL for total 0.
+
+    Computed in binary floating point with ties to the even digit, as producers do:
+    another way of rounding would move some events by a hundredth.
+    """
+    share = F.try_divide(_column(watched).cast("double"), _column(total).cast("double"))
+    return F.bround(share * 100, 2).try_cast(PERCENT)
 
 
 def is_completed(pct):

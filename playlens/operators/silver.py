@@ -33,8 +33,9 @@ def clean(df):
         "device_type": features.tidy_upper("device_type"),
         "region": features.tidy_upper("region"),
         "content_title": F.trim("content_title"),
-        "completion_pct": F.col("completion_pct").try_cast(PERCENT),
     }
+    if "completion_pct" in df.columns and df.schema["completion_pct"].dataType != PERCENT:
+        tidy["completion_pct"] = F.col("completion_pct").try_cast(PERCENT)
     if "event_timestamp" in df.columns and _is_text(df, "event_timestamp"):
         tidy["event_timestamp"] = features.parse_time("event_timestamp")
     tidied = df.withColumns({c: e for c, e in tidy.items() if c in df.columns})

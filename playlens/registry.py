@@ -258,9 +258,10 @@ def dim_date(spark, sf_dir):
 
 @query
 def dim_keys(spark, sf_dir):
-    rows = silver(spark, sf_dir, content=True, place=True)
+    joins = {"dim_content": {"content": True}, "dim_locations": {"place": True}}
     keyed = [
-        dense_keys(build(rows), natural, "dim_key").select(
+        dense_keys(build(silver(spark, sf_dir, **joins.get(name, {}))), natural,
+                   "dim_key").select(
             F.lit(name).alias("dim"),
             F.concat_ws("|", *[F.col(c).cast("string") for c in natural]).alias("natural_key"),
             "dim_key")

@@ -21,8 +21,8 @@ PRICES = (149, 299, 649)
 
 
 def _pick(values, id_column):
-    return F.element_at(F.array(*[F.lit(v) for v in values]),
-                        (F.pmod(F.col(id_column), F.lit(len(values))) + 1).cast("int"))
+    listed = ", ".join(repr(v) for v in values)
+    return F.expr(f"element_at(array({listed}), int(pmod({id_column}, {len(values)})) + 1)")
 
 
 def read(spark, sf_dir, table):
@@ -55,8 +55,13 @@ def places(spark, sf_dir):
     )
 
 
+def _completion(clamp):
+    pct = features.completion_pct("value", F.lit(100))
+    return F.when(pct > 100, F.lit(100).cast(PERCENT)).otherwise(pct) if clamp else pct
+
+
 def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
-    """Watch events with a typed ``event_timestamp``.
+    """Watch events with a typed ``event_timestamp`` and decimal ``completion_pct``.
 
     ``content`` and ``place`` add the columns that need a join. ``clamp`` limits the
     completion to 100; without it the raw values remain, for the range checks.
@@ -65,15 +70,13 @@ def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
         "event_id", "ts", "event_type", "value",
         F.col("user_id").alias("user_no"),
         F.get_json_object("props", "$.k").try_cast("bigint").alias("content_no"),
+        _completion(clamp).alias("pct"),
     )
     if content:
         source = source.join(contents(spark, sf_dir), "content_no", "left")
     if place:
         source = source.join(places(spark, sf_dir), "user_no", "left")
 
-    pct = features.completion_pct("value", F.lit(100))
-    if clamp:
-        pct = F.when(pct > 100, F.lit(100).cast(PERCENT)).otherwise(pct)
     columns = {
         "event_id": F.col("event_id").cast("string"),
         "event_timestamp": F.col("ts"),
@@ -84,9 +87,9 @@ def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
         "action": F.col("event_type"),
         "watch_duration_mins": F.col("value").cast(PERCENT),
         "total_duration_mins": F.lit(100),
-        "completion_pct": pct.cast("double"),
-        "is_completed": features.is_completed(pct),
-        "is_dropped": features.is_dropped(pct),
+        "completion_pct": F.col("pct"),
+        "is_completed": features.is_completed("pct"),
+        "is_dropped": features.is_dropped("pct"),
         "device_type": _pick(DEVICE_TYPES, "event_id"),
         "device_os": _pick(DEVICE_SYSTEMS, "event_id"),
         "subscription_plan": _pick(PLANS, "event_id"),
@@ -102,4 +105,5 @@ def watch_records(spark, sf_dir):
     """All 27 fields as a producer sends them: the time as ISO text."""
     events = watch_events(spark, sf_dir, content=True, place=True, clamp=False)
     text = F.date_format(F.col("event_timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return events.withColumn("event_timestamp", text)
+    return events.withColumns({"event_timestamp": text,
+                               "completion_pct": F.col("completion_pct").cast("double")})
