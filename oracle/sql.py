@@ -370,8 +370,8 @@ _AFTER_SILVER = {
                      (SELECT COUNT(*) FROM deduplicated) AS silver_rows,
                      (SELECT COUNT(*) FROM deduplicated WHERE raw_pct BETWEEN 0 AND 100)
                        AS gold_rows)""",
-    "expect_or_drop_rows": "SELECT event_id, content_id FROM silver WHERE "
-                           + " AND ".join(RULES.values()),
+    "expect_or_drop": "SELECT event_id, content_id FROM silver WHERE "
+                      + " AND ".join(RULES.values()),
     "expect_or_drop_failures": " UNION ALL ".join(
         f"SELECT '{name}' AS rule, COUNT(*) FILTER (WHERE NOT coalesce({rule}, FALSE)) "
         f"AS failed_rows FROM silver" for name, rule in RULES.items()),

@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playlens.functions.measures import exact_sum, ratio
+
 # A layer passes while it loses less than this share, in percent.
 MAX_LOSS_BRONZE_SILVER = 10
 MAX_LOSS_SILVER_GOLD = 5
@@ -52,12 +54,11 @@ def profile_layers(layers):
 
 def range_stats(silver):
     """Smallest, largest and mean completion."""
-    pct = F.col("completion_pct")
-    mean = F.try_divide(F.sum(pct.cast("decimal(12,2)")), F.count(pct).cast("decimal(19,0)"))
+    total = exact_sum("completion_pct", silver.schema["completion_pct"].dataType)
     return silver.agg(
-        F.min(pct).cast("double").alias("min_completion"),
-        F.max(pct).cast("double").alias("max_completion"),
-        F.round(mean, 2).cast("double").alias("avg_completion"),
+        F.expr("double(min(completion_pct)) AS min_completion"),
+        F.expr("double(max(completion_pct)) AS max_completion"),
+        F.expr(f"{ratio(total, 'count(completion_pct)')} AS avg_completion"),
     )
 
 

@@ -32,7 +32,7 @@ def clean(df):
         "genre": features.tidy_upper("genre"),
         "device_type": features.tidy_upper("device_type"),
         "region": features.tidy_upper("region"),
-        "content_title": F.trim("content_title"),
+        "content_title": F.expr("trim(content_title)"),
     }
     if "completion_pct" in df.columns and df.schema["completion_pct"].dataType != PERCENT:
         tidy["completion_pct"] = F.col("completion_pct").try_cast(PERCENT)
@@ -43,7 +43,7 @@ def clean(df):
     derived = {
         "completion_category": (("completion_pct",), features.completion_category),
         "device_category": (("device_type",), features.device_category),
-        "event_date": (("event_timestamp",), F.to_date),
+        "event_date": (("event_timestamp",), lambda ts: F.expr(f"to_date({ts})")),
         "time_of_day": (("event_timestamp",), features.time_of_day),
         "engagement_score": (("completion_pct",), features.engagement_score),
         "revenue_per_view": (("subscription_price", "completion_pct"),

@@ -11,8 +11,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.functions.measures import (aggregate, aggregate_star, finish, partial,
-                                         parts_of)
+from playlens.functions.measures import (add_parts, aggregate, aggregate_star, finish,
+                                         partial)
 
 # Measures of the four report shapes.
 AGGREGATION_MEASURES = ["total_views", "avg_completion", "avg_engagement", "total_revenue",
@@ -79,10 +79,9 @@ def location_performance(fact, dim_locations, region=None, limit=None):
     """
     dim = dim_locations if region is None else dim_locations.filter(F.col("region") == region)
     per_city = partial(fact, ["city"], LOCATION_MEASURES, users=True)
-    groups = per_city.join(dim.select(*LOCATION_KEYS), "city").groupBy(*LOCATION_KEYS).agg(
-        *[F.sum(p).alias(p) for p in parts_of(LOCATION_MEASURES)],
-        F.max("unique_users").alias("unique_users"))
-    ranked = finish(groups, LOCATION_KEYS, LOCATION_MEASURES, extra=["unique_users"]).orderBy(
+    groups = add_parts(per_city.join(dim.select(*LOCATION_KEYS), "city"), LOCATION_KEYS,
+                       LOCATION_MEASURES, users=True)
+    ranked = finish(groups, LOCATION_KEYS, LOCATION_MEASURES, users=True).orderBy(
         F.desc("total_views"), *LOCATION_KEYS)
     return _limited(ranked, limit)
 

@@ -33,7 +33,7 @@ QUERIES = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_query")] = fn
     return fn
 
 
@@ -176,12 +176,15 @@ def project(spark, sf_dir):
 @query
 def event_features(spark, sf_dir):
     events = sample.read(spark, sf_dir, "events")
-    pct = features.completion_pct("value", F.lit(100))
+    pct = features.completion_pct("value", "100")
     return events.select(
         "event_id", *[e.alias(n) for n, e in features.calendar_features("ts").items()],
-        pct.cast("double").alias("completion_pct"),
-        features.is_completed(pct).alias("is_completed"),
-        features.is_dropped(pct).alias("is_dropped"))
+        pct.alias("completion_pct"),
+    ).withColumns({
+        "is_completed": features.is_completed("completion_pct"),
+        "is_dropped": features.is_dropped("completion_pct"),
+        "completion_pct": F.col("completion_pct").cast("double"),
+    })
 
 
 @query
@@ -397,7 +400,7 @@ def _ruled(spark, sf_dir):
 
 
 @query
-def expect_or_drop_rows(spark, sf_dir):
+def expect_or_drop_query(spark, sf_dir):
     return expect_or_drop(_ruled(spark, sf_dir), RULES).select("event_id", "content_id")
 
 

@@ -14,15 +14,12 @@ from playlens.schemas import PERCENT, WATCH_EVENT
 
 # Fixed values, picked by id: age groups, device pairs, plans with prices.
 AGE_GROUPS = ("18-24", "25-34", "35-44", "45-54", "55+")
-DEVICE_TYPES = ("SMARTTV", "MOBILE", "MOBILE", "LAPTOP", "TABLET")
-DEVICE_SYSTEMS = ("Android TV", "Android", "iOS", "Windows", "iOS")
-PLANS = ("BASIC", "STANDARD", "PREMIUM")
-PRICES = (149, 299, 649)
-
-
-def _pick(values, id_column):
-    listed = ", ".join(repr(v) for v in values)
-    return F.expr(f"element_at(array({listed}), int(pmod({id_column}, {len(values)})) + 1)")
+BY_EVENT = {
+    "device_type": ("SMARTTV", "MOBILE", "MOBILE", "LAPTOP", "TABLET"),
+    "device_os": ("Android TV", "Android", "iOS", "Windows", "iOS"),
+    "subscription_plan": ("BASIC", "STANDARD", "PREMIUM"),
+    "subscription_price": (149, 299, 649),
+}
 
 
 def read(spark, sf_dir, table):
@@ -30,12 +27,12 @@ def read(spark, sf_dir, table):
 
 
 def contents(spark, sf_dir):
-    return read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("content_no"),
-        F.col("p_name").alias("content_title"),
-        F.when(F.col("p_size") > 25, "Movie").otherwise("Series").alias("content_type"),
-        F.col("p_type").alias("genre"),
-        F.col("p_brand").alias("language"),
+    return read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS content_no",
+        "p_name AS content_title",
+        "CASE WHEN p_size > 25 THEN 'Movie' ELSE 'Series' END AS content_type",
+        "p_type AS genre",
+        "p_brand AS language",
     )
 
 
@@ -46,54 +43,52 @@ def places(spark, sf_dir):
         read(spark, sf_dir, "customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select(
-            F.col("c_custkey").alias("user_no"),
-            F.col("n_name").alias("city"),
-            F.concat(F.lit("STATE_"), (F.col("n_nationkey") % 10).cast("string")).alias("state"),
-            F.col("r_name").alias("region"),
+        .selectExpr(
+            "c_custkey AS user_no",
+            "n_name AS city",
+            "concat('STATE_', string(n_nationkey % 10)) AS state",
+            "r_name AS region",
         )
     )
 
 
-def _completion(clamp):
-    pct = features.completion_pct("value", F.lit(100))
-    return F.when(pct > 100, F.lit(100).cast(PERCENT)).otherwise(pct) if clamp else pct
-
-
 def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
     """Watch events with a typed ``event_timestamp`` and decimal ``completion_pct``.
 
     ``content`` and ``place`` add the columns that need a join. ``clamp`` limits the
     completion to 100; without it the raw values remain, for the range checks.
     """
+    pct = features.completion_pct("value", "100")
     source = read(spark, sf_dir, "events").select(
         "event_id", "ts", "event_type", "value",
-        F.col("user_id").alias("user_no"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("content_no"),
-        _completion(clamp).alias("pct"),
+        F.expr("user_id AS user_no"),
+        F.expr("try_cast(get_json_object(props, '$.k') AS bigint) AS content_no"),
+        pct.alias("pct"),
     )
+    if clamp:
+        source = source.withColumn(
+            "pct", F.expr(f"CASE WHEN pct > 100 THEN cast(100 AS {PERCENT.simpleString()}) "
+                          "ELSE pct END"))
     if content:
         source = source.join(contents(spark, sf_dir), "content_no", "left")
     if place:
         source = source.join(places(spark, sf_dir), "user_no", "left")
 
     columns = {
-        "event_id": F.col("event_id").cast("string"),
+        "event_id": F.expr("string(event_id)"),
         "event_timestamp": F.col("ts"),
         **features.calendar_features("ts"),
-        "user_id": F.col("user_no").cast("string"),
-        "age_group": _pick(AGE_GROUPS, "user_no"),
-        "content_id": F.col("content_no").cast("string"),
+        "user_id": F.expr("string(user_no)"),
+        "age_group": features.pick(AGE_GROUPS, f"pmod(user_no, {len(AGE_GROUPS)})"),
+        "content_id": F.expr("string(content_no)"),
         "action": F.col("event_type"),
-        "watch_duration_mins": F.col("value").cast(PERCENT),
-        "total_duration_mins": F.lit(100),
+        "watch_duration_mins": F.expr(f"cast(value AS {PERCENT.simpleString()})"),
+        "total_duration_mins": F.expr("100"),
         "completion_pct": F.col("pct"),
         "is_completed": features.is_completed("pct"),
         "is_dropped": features.is_dropped("pct"),
-        "device_type": _pick(DEVICE_TYPES, "event_id"),
-        "device_os": _pick(DEVICE_SYSTEMS, "event_id"),
-        "subscription_plan": _pick(PLANS, "event_id"),
-        "subscription_price": _pick(PRICES, "event_id"),
+        **{name: features.pick(values, f"pmod(event_id, {len(values)})")
+           for name, values in BY_EVENT.items()},
     }
     for name in source.columns:
         if name in WATCH_EVENT.names:

@@ -2,7 +2,6 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from playlens.functions import features
 
@@ -75,6 +74,6 @@ def test_scores(spark):
     frame = spark.createDataFrame([(i, p) for i, p in enumerate(pct)], "i int, p string")
     rows = frame.orderBy("i").select(
         features.engagement_score("p").cast("double"),
-        features.revenue_per_view(F.lit(149), "p").cast("double")).collect()
+        features.revenue_per_view("149", "p").cast("double")).collect()
     assert [tuple(r) for r in rows] == [
         (0.0, 0.0), (35.0, 74.5), (62.993, 134.0851), (93.0, 134.1), (100.0, 149.0)]

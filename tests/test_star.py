@@ -1,12 +1,14 @@
 """Dimensions, keys, fact, star analytics."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playlens import schemas
-from playlens.functions.measures import MEASURES, aggregate, aggregate_star
+from playlens.functions.measures import MEASURES, aggregate, aggregate_star, exact_sum
 from playlens.operators import dims
 from playlens.operators.expectations import expect_or_drop, failures
 from playlens.operators.fact import build_fact
@@ -95,6 +97,23 @@ def test_star_aggregate_equals_join_then_aggregate(spark):
             aggregate(joined, keys, measures))
 
 
+def test_exact_sum_of_wide_decimals(spark):
+    """Values beyond the fast range, mixed, alone, and all NULL."""
+    kind = T.DecimalType(14, 4)
+    groups = {
+        "small": ["0.0001", "9999.9999", "-3.5000"],
+        "mixed": ["9999.9999", "10000.0000", "-1234567890.1234", None],
+        "large": ["1234567890.1234", "9999999999.9999"],
+        "none": [None, None],
+    }
+    rows = [(g, None if v is None else Decimal(v)) for g, vs in groups.items() for v in vs]
+    frame = spark.createDataFrame(rows, T.StructType([
+        T.StructField("g", T.StringType()), T.StructField("v", kind)]))
+    got = frame.groupBy("g").agg(F.expr(f"{exact_sum('v', kind)} AS v")).collect()
+    assert {r.g: r.v for r in got} == {
+        g: sum(Decimal(v) for v in vs if v) if any(vs) else None for g, vs in groups.items()}
+
+
 def test_revenue_forms_differ_for_users_with_several_plans(events):
     silver = clean(events(
         {"user_id": "u1", "subscription_plan": "BASIC", "subscription_price": 149},
