@@ -14,7 +14,7 @@ USER_RULES = {"valid_user_id": "user_id IS NOT NULL"}
 CITY_RULES = {"valid_city": "city IS NOT NULL"}
 
 
-def _dimension(silver, columns, rules=None, created=False):
+def _dimension(silver, columns, rules, created):
     rows = silver.select(*columns)
     if rules:
         rows = expect_or_drop(rows, rules)
@@ -22,20 +22,22 @@ def _dimension(silver, columns, rules=None, created=False):
     return rows.withColumn("created_at", F.current_timestamp()) if created else rows
 
 
-def dim_content(silver, columns=schemas.DIM_CONTENT, created=False):
-    return _dimension(silver, columns, CONTENT_RULES, created)
+# ``columns`` may name fewer attributes, and ``rules=None`` keeps every row.
 
+def dim_content(silver, columns=schemas.DIM_CONTENT, rules=CONTENT_RULES, created=False):
+    return _dimension(silver, columns, rules, created)
 
-def dim_users(silver, columns=schemas.DIM_USERS, created=False):
-    return _dimension(silver, columns, USER_RULES, created)
 
+def dim_users(silver, columns=schemas.DIM_USERS, rules=USER_RULES, created=False):
+    return _dimension(silver, columns, rules, created)
 
-def dim_devices(silver, columns=schemas.DIM_DEVICES, created=False):
-    return _dimension(silver, columns, None, created)
 
+def dim_devices(silver, columns=schemas.DIM_DEVICES, rules=None, created=False):
+    return _dimension(silver, columns, rules, created)
 
-def dim_locations(silver, columns=schemas.DIM_LOCATIONS, created=False):
-    return _dimension(silver, columns, CITY_RULES, created)
+
+def dim_locations(silver, columns=schemas.DIM_LOCATIONS, rules=CITY_RULES, created=False):
+    return _dimension(silver, columns, rules, created)
 
 
 def dim_date(silver):

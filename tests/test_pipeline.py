@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from playlens import registry, schemas
 from playlens.operators import quality
-from playlens.plans import pipeline, reports
+from playlens.plans import checks, pipeline, reports
 from playlens.sources import messages, sample, tables
 from playlens.streaming import bronze
 from tests.conftest import SAMPLE, values
@@ -40,6 +40,19 @@ def test_layers_end_to_end(spark, base):
     loss = quality.layer_loss(messages.combine(bulk, stream), silver, fact).first()
     assert (loss.bronze_to_silver_pct, loss.silver_to_gold_pct) == (50.0, 0.0)
 
+    checked = checks.check_lake(spark, lake)
+    assert checked.missing == {}
+    assert values(checked.profile) == [
+        ("bulk_history", n, n, 0), ("fact_watch_events", n, n, 0), ("stream_events", n, n, 0),
+        ("watch_obt", n, n, 0)]
+    assert {r.null_count for r in checked.nulls["watch_obt"].collect()} == {0}
+    assert checked.invalid.first().invalid_completion == records.filter(
+        "completion_pct > 100").count()
+    assert sum(r["count"] for r in checked.time_of_day.collect()) == n
+    assert values(checked.orphans) == [("dim_content", 0, 0), ("dim_devices", 0, 0),
+                                       ("dim_locations", 0, 0)]
+    assert checked.loss.first().bronze_to_silver_ok
+
     # The sample's raw completion is not limited to 100, here and in the direct query.
     wanted = registry.views_by_device_end_to_end(spark, SAMPLE)
     assert values(reports.aggregation(fact, "device_type", limit=10)) == values(wanted)
@@ -58,3 +71,13 @@ def test_time_range_reads_only_its_days(spark, base):
     scan = next(line for line in text.splitlines() if "FileScan" in line)
     assert "PartitionFilters: [isnotnull(event_date" in scan
     assert "event_timestamp" in scan.split("PushedFilters")[1]
+
+
+def test_checks_of_an_incomplete_lake(spark, base, events):
+    lake = pipeline.Lake(base)
+    pipeline.load_bronze_bulk(events({}, {"event_id": "e0"}), lake)
+    checked = checks.check_lake(spark, lake)
+    assert values(checked.profile) == [("bulk_history", 2, 1, 1)]
+    assert {"stream_events", "watch_obt", "fact_watch_events"} <= set(checked.missing)
+    assert checked.invalid is None and checked.orphans is None and checked.loss is None
+    assert list(checked.nulls) == ["bulk_history"]

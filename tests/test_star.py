@@ -28,6 +28,7 @@ def test_dimensions_are_distinct_and_ruled(events):
                                               ("USR-1", "25-34", "PREMIUM", 649)]
     assert values(dims.dim_locations(silver)) == [("Pune", "Maharashtra", "WEST")]
     assert values(dims.dim_devices(silver)) == [("MOBILE", "iOS", "MOBILE")]
+    assert dims.dim_content(silver, ("content_id", "genre"), rules=None).count() == 2
     assert dims.dim_content(silver, created=True).columns[-1] == "created_at"
 
 
