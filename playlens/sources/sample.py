@@ -20,6 +20,14 @@ BY_EVENT = {
     "subscription_plan": ("BASIC", "STANDARD", "PREMIUM"),
     "subscription_price": (149, 299, 649),
 }
+# The number in props. Text of the usual form is cut out, which costs a small part of
+# parsing it; any other JSON is parsed.
+CONTENT_NO = """
+coalesce(
+  CASE WHEN startswith(props, '{"k": ') AND endswith(props, '}')
+       THEN try_cast(substr(props, 7, length(props) - 7) AS bigint) END,
+  try_cast(get_json_object(props, '$.k') AS bigint))
+"""
 
 
 def read(spark, sf_dir, table):
@@ -62,7 +70,7 @@ def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
     source = read(spark, sf_dir, "events").select(
         "event_id", "ts", "event_type", "value",
         F.expr("user_id AS user_no"),
-        F.expr("try_cast(get_json_object(props, '$.k') AS bigint) AS content_no"),
+        F.expr(f"{CONTENT_NO} AS content_no"),
         pct.alias("pct"),
     )
     if clamp:
