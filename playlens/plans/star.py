@@ -23,7 +23,7 @@ def revenue_by_plan_literal(fact, dim_users):
     """Views and revenue per plan, joined on the user alone.
 
     A user with several plans has several dimension rows, so their views count once
-    for every plan. Kept because existing dashboards show these numbers.
+    for every plan. Kept beside ``revenue_by_plan`` as the form users run today.
     """
     return _revenue(fact, dim_users, "user_id")
 

@@ -61,11 +61,11 @@ def bronze(spark, sf_dir, content=False, place=False):
 
 
 def content_dim(spark, sf_dir):
-    return dims.dim_content(silver(spark, sf_dir, content=True))
+    return dims.dim_content(clean(sample.seen_contents(spark, sf_dir)))
 
 
 def location_dim(spark, sf_dir):
-    return dims.dim_locations(silver(spark, sf_dir, place=True))
+    return dims.dim_locations(clean(sample.seen_places(spark, sf_dir)))
 
 
 def report(name, spark, sf_dir):
@@ -261,15 +261,18 @@ def dim_date(spark, sf_dir):
 
 @query
 def dim_keys(spark, sf_dir):
-    joins = {"dim_content": {"content": True}, "dim_locations": {"place": True}}
-    keyed = [
-        dense_keys(build(silver(spark, sf_dir, **joins.get(name, {}))), natural,
-                   "dim_key").select(
-            F.lit(name).alias("dim"),
-            F.concat_ws("|", *[F.col(c).cast("string") for c in natural]).alias("natural_key"),
-            "dim_key")
-        for name, (build, natural, _) in DIMENSIONS.items()
-    ]
+    built = {
+        "dim_content": content_dim(spark, sf_dir),
+        "dim_users": dim_users(spark, sf_dir),
+        "dim_devices": dim_devices(spark, sf_dir),
+        "dim_locations": location_dim(spark, sf_dir),
+        "dim_date": dim_date(spark, sf_dir),
+    }
+    keyed = []
+    for name, (_, natural, _) in DIMENSIONS.items():
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in natural])
+        keyed.append(dense_keys(built[name], natural, "dim_key").select(
+            F.lit(name).alias("dim"), text.alias("natural_key"), "dim_key"))
     return reduce(DataFrame.unionByName, keyed)
 
 

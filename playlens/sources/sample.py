@@ -104,6 +104,24 @@ def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
     return source.select(*[columns[f].alias(f) for f in WATCH_EVENT.names if f in columns])
 
 
+def seen_contents(spark, sf_dir):
+    """Content columns of the contents that occur in the events, one row each.
+
+    The attributes depend on the key alone, so the keys are made distinct before the
+    join: it meets as many rows as there are contents, not events.
+    """
+    keys = read(spark, sf_dir, "events").select(F.expr(f"{CONTENT_NO} AS content_no"))
+    return keys.distinct().join(contents(spark, sf_dir), "content_no", "left").selectExpr(
+        "string(content_no) AS content_id", "content_title", "content_type", "genre", "language")
+
+
+def seen_places(spark, sf_dir):
+    """Place columns of the users that occur in the events, one row per user."""
+    keys = read(spark, sf_dir, "events").select(F.expr("user_id AS user_no"))
+    return keys.distinct().join(places(spark, sf_dir), "user_no", "left").select(
+        "city", "state", "region")
+
+
 def watch_records(spark, sf_dir):
     """All 27 fields as a producer sends them: the time as ISO text."""
     events = watch_events(spark, sf_dir, content=True, place=True, clamp=False)

@@ -33,11 +33,11 @@ def base(tmp_path):
 EVENT = {
     "event_id": "e1", "event_timestamp": "2024-01-05T20:15:00.000001", "event_hour": 20,
     "event_day": "Friday", "event_month": 1, "is_prime_time": 1, "is_weekend": 0,
-    "user_id": "USR-1", "age_group": "25-34", "content_id": "CNT-1",
+    "user_id": "u-1", "age_group": "25-34", "content_id": "c-1",
     "content_title": "First", "content_type": "Movie", "genre": "Drama",
     "language": "English", "action": "PLAY", "watch_duration_mins": 45,
     "total_duration_mins": 90, "completion_pct": 50.0, "is_completed": 0, "is_dropped": 0,
-    "device_type": "Mobile", "device_os": "iOS", "city": "Pune", "state": "Maharashtra",
+    "device_type": "Mobile", "device_os": "iOS", "city": "Lyon", "state": "Rhone",
     "region": "West", "subscription_plan": "BASIC", "subscription_price": 149,
 }
 

@@ -23,10 +23,10 @@ def test_dimensions_are_distinct_and_ruled(events):
     silver = clean(events({}, {}, {"content_id": None}, {"content_title": None},
                           {"user_id": None}, {"city": None}, {"subscription_plan": "PREMIUM",
                                                               "subscription_price": 649}))
-    assert values(dims.dim_content(silver)) == [("CNT-1", "First", "Movie", "DRAMA", "English")]
-    assert values(dims.dim_users(silver)) == [("USR-1", "25-34", "BASIC", 149),
-                                              ("USR-1", "25-34", "PREMIUM", 649)]
-    assert values(dims.dim_locations(silver)) == [("Pune", "Maharashtra", "WEST")]
+    assert values(dims.dim_content(silver)) == [("c-1", "First", "Movie", "DRAMA", "English")]
+    assert values(dims.dim_users(silver)) == [("u-1", "25-34", "BASIC", 149),
+                                              ("u-1", "25-34", "PREMIUM", 649)]
+    assert values(dims.dim_locations(silver)) == [("Lyon", "Rhone", "WEST")]
     assert values(dims.dim_devices(silver)) == [("MOBILE", "iOS", "MOBILE")]
     assert dims.dim_content(silver, ("content_id", "genre"), rules=None).count() == 2
     assert dims.dim_content(silver, created=True).columns[-1] == "created_at"
@@ -129,7 +129,7 @@ def test_revenue_forms_differ_for_users_with_several_plans(events):
 
 def test_genre_views_and_top_content(events):
     silver = clean(events({"completion_pct": 10.0}, {"completion_pct": 20.0},
-                          {"content_id": "CNT-2", "content_title": "Second", "genre": "Comedy"}))
+                          {"content_id": "c-2", "content_title": "Second", "genre": "Comedy"}))
     fact, content = build_fact(silver), dims.dim_content(silver)
     assert [tuple(r) for r in star.genre_views(fact, content).collect()] == [
         ("DRAMA", 2, 15.0), ("COMEDY", 1, 50.0)]
@@ -146,7 +146,26 @@ def test_trending_content_window_and_ties(events):
 
 
 def test_hourly_pulse_keeps_rows_without_time(events):
-    silver = clean(events({}, {"user_id": "USR-2"}, {"event_timestamp": "never"}))
+    silver = clean(events({}, {"user_id": "u-2"}, {"event_timestamp": "never"}))
     rows = gold.hourly_pulse(build_fact(silver)).collect()
     assert sorted((str(r[0]), r.total_views, r.unique_users) for r in rows) == [
         ("2024-01-05 20:00:00", 2, 2), ("None", 1, 1)]
+
+
+def test_dimensions_of_seen_keys_equal_those_of_all_events(spark):
+    silver = clean(sample.watch_events(spark, SAMPLE, content=True, place=True))
+    assert values(dims.dim_content(clean(sample.seen_contents(spark, SAMPLE)))) == values(
+        dims.dim_content(silver))
+    assert values(dims.dim_locations(clean(sample.seen_places(spark, SAMPLE)))) == values(
+        dims.dim_locations(silver))
+
+
+def test_content_number_of_usual_and_other_json(spark):
+    texts = ['{"k": 69}', '{"k":7}', '{"a": 1, "k": 8}', '{"k": 9, "a": {"k": 1}}', '{"k": "12"}',
+             '{"k": null}', '{"k": 1.5}', "{", "", None, '{"k": -3}', '{"k": 5 }']
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, props string")
+    got = frame.orderBy("i").selectExpr(f"{sample.CONTENT_NO} AS n").collect()
+    parsed = frame.orderBy("i").selectExpr(
+        "try_cast(get_json_object(props, '$.k') AS bigint) AS n").collect()
+    assert got == parsed
+    assert [r.n for r in got] == [69, 7, 8, 9, 12, None, None, None, None, None, -3, 5]
