@@ -131,7 +131,7 @@ WITH typed AS (
 )
 """
 
-# Field name -> (SQL text, kind) of a watch record as it is sent.
+# Field name -> SQL of a watch record as it is sent.
 RECORD = {
     "event_id": "event_id", "event_timestamp": "event_text", "event_hour": "event_hour",
     "event_day": "event_day", "event_month": "event_month", "is_prime_time": "is_prime_time",
@@ -150,7 +150,8 @@ NUMBERS = {"event_hour", "event_month", "is_prime_time", "is_weekend", "watch_du
 
 
 def record_columns():
-    return ", ".join(f"{sql} AS {name}" for name, sql in RECORD.items())
+    sent = {**RECORD, "watch_duration_mins": "CAST(watch_duration_mins AS DOUBLE)"}
+    return ", ".join(f"{sql} AS {name}" for name, sql in sent.items())
 
 
 def record_json():

@@ -78,6 +78,12 @@ def report(name, spark, sf_dir):
     return chosen.build({t: sources[t]() for t in chosen.tables})
 
 
+def doubles(df):
+    """Decimal columns as doubles, the common type for comparing results."""
+    return df.withColumns({f.name: F.col(f.name).cast("double") for f in df.schema.fields
+                           if isinstance(f.dataType, T.DecimalType)})
+
+
 # ---- sources and sinks ----------------------------------------------------------
 
 @query
@@ -90,7 +96,7 @@ def scan_table(spark, sf_dir):
 def scan_json_bulk(spark, sf_dir):
     path = work_dir(spark, "scan_json_bulk")
     sample.watch_records(spark, sf_dir).write.json(path)
-    return tables.scan_json(spark, path, schemas.WATCH_EVENT)
+    return doubles(tables.scan_json(spark, path, schemas.WATCH_EVENT))
 
 
 @query
@@ -105,9 +111,8 @@ def write_overwrite(spark, sf_dir):
     path = work_dir(spark, "write_overwrite")
     wide = silver(spark, sf_dir)
     tables.write_table(wide.select("event_id", "device_type"), path)
-    return tables.write_table(
-        wide.select("event_id", "user_id", "completion_pct", "completion_category"), path
-    ).withColumn("completion_pct", F.col("completion_pct").cast("double"))
+    return doubles(tables.write_table(
+        wide.select("event_id", "user_id", "completion_pct", "completion_category"), path))
 
 
 @query
@@ -144,7 +149,7 @@ def encode_events(spark, sf_dir):
 def json_parse(spark, sf_dir):
     sent = messages.encode(sample.watch_records(spark, sf_dir)).select(
         F.col("value").cast("binary").alias("body"))
-    return messages.readable(messages.decode(sent))
+    return doubles(messages.readable(messages.decode(sent)))
 
 
 @query
@@ -163,7 +168,7 @@ def stream_bronze(spark, sf_dir):
         f"{base}/incoming")
     incoming = stream.message_source(spark, "text", f"{base}/incoming")
     stream.ingest_available(incoming, f"{base}/stream_events", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/stream_events").drop("ingested_at")
+    return doubles(spark.read.parquet(f"{base}/stream_events").drop("ingested_at"))
 
 
 # ---- silver ---------------------------------------------------------------------
@@ -206,10 +211,7 @@ def dedupe_event_id(spark, sf_dir):
 @query
 def silver_obt(spark, sf_dir):
     events = build_silver(bronze(spark, sf_dir, content=True, place=True))
-    kept = events.drop("silver_timestamp", "ingested_at")
-    return kept.withColumns({
-        f.name: F.col(f.name).cast("double") for f in kept.schema.fields
-        if isinstance(f.dataType, T.DecimalType)})
+    return doubles(events.drop("silver_timestamp", "ingested_at"))
 
 
 @query
@@ -278,10 +280,7 @@ def dim_keys(spark, sf_dir):
 
 @query
 def fact_watch_events(spark, sf_dir):
-    rows = fact(spark, sf_dir, place=True)
-    return rows.withColumns({
-        f.name: F.col(f.name).cast("double") for f in rows.schema.fields
-        if isinstance(f.dataType, T.DecimalType)})
+    return doubles(fact(spark, sf_dir, place=True))
 
 
 @query
