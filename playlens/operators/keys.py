@@ -21,11 +21,11 @@ def dense_keys(df, natural_key, key):
     spark = df.sparkSession
     path = work_dir(spark, "dense_keys")
     natural_key = list(natural_key)
-    (df.repartitionByRange(*natural_key)
-     .sortWithinPartitions(*natural_key)
-     .withColumn("_slot", F.monotonically_increasing_id())
-     .write.parquet(path))
-    laid = spark.read.parquet(path).withColumn(
+    sorted_rows = (df.repartitionByRange(*natural_key)
+                   .sortWithinPartitions(*natural_key)
+                   .withColumn("_slot", F.monotonically_increasing_id()))
+    sorted_rows.write.parquet(path)
+    laid = spark.read.schema(sorted_rows.schema).parquet(path).withColumn(
         "_part", F.shiftrightunsigned("_slot", _ROW_BITS))
 
     # One row per written partition, so the window and the broadcast are bounded by

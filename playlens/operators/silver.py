@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from playlens.functions import features
 from playlens.functions.measures import aggregate
 from playlens.schemas import PERCENT
+from playlens.sources.messages import readable
 
 
 def deduplicate(df, keys=("event_id",), order=("ingested_at", "source", "event_timestamp")):
@@ -56,8 +57,8 @@ def clean(df):
 
 
 def build_silver(bronze, order=("ingested_at", "source", "event_timestamp")):
-    """Deduplicated, cleaned events with their load time."""
-    return clean(deduplicate(bronze, order=order)).withColumn(
+    """Readable events, deduplicated and cleaned, with their load time."""
+    return clean(deduplicate(readable(bronze), order=order)).withColumn(
         "silver_timestamp", F.current_timestamp())
 
 

@@ -168,7 +168,8 @@ def stream_bronze(spark, sf_dir):
         f"{base}/incoming")
     incoming = stream.message_source(spark, "text", f"{base}/incoming")
     stream.ingest_available(incoming, f"{base}/stream_events", f"{base}/checkpoint")
-    return doubles(spark.read.parquet(f"{base}/stream_events").drop("ingested_at"))
+    stored = spark.read.parquet(f"{base}/stream_events")
+    return doubles(messages.readable(stored).drop("ingested_at"))
 
 
 # ---- silver ---------------------------------------------------------------------

@@ -39,17 +39,24 @@ def decode(messages, schema=WATCH_EVENT, body="body"):
     return messages.select(parsed.alias("data")).select("data.*")
 
 
-def readable(decoded):
-    return decoded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def readable(rows):
+    """Rows that were read as sent, without the column for the others."""
+    if CORRUPT not in rows.columns:
+        return rows
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def unreadable(decoded):
-    return decoded.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+def unreadable(rows):
+    """Text of the messages that were not."""
+    return rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def ingest(messages, schema=WATCH_EVENT, body="body", source=STREAM):
-    """Raw-layer rows of a batch or a stream of messages."""
-    return stamp(readable(decode(messages, schema, body)), source)
+    """Raw-layer rows of a batch or a stream of messages.
+
+    The raw layer keeps unreadable messages with their text; silver leaves them out.
+    """
+    return stamp(decode(messages, schema, body), source)
 
 
 def combine(bulk, stream):

@@ -5,6 +5,7 @@ transaction log (where its jar is present) through the same parameter.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def scan_table(spark, path, fmt="parquet", schema=None, **options):
@@ -12,13 +13,18 @@ def scan_table(spark, path, fmt="parquet", schema=None, **options):
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def scan_json(spark, path, schema, array=False):
+def scan_json(spark, path, schema, array=False, corrupt=None):
     """JSON Lines, or with ``array`` whole files that hold one JSON array.
 
     An array file cannot be split between tasks: use it for small history files, one
-    task per file, and JSON Lines for volume.
+    task per file, and JSON Lines for volume. ``corrupt`` names a column that keeps the
+    text of records that do not fit the schema; without it their fields are NULL.
     """
-    return spark.read.schema(schema).option("multiLine", array).json(path)
+    reader = spark.read.option("multiLine", array)
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(schema).json(path)
 
 
 def write_table(df, path, fmt="parquet", mode="overwrite", partition_by=(), rebalance=True,

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from playlens import schemas
+from playlens.operators.silver import build_silver
 from playlens.sources import messages, sample, tables
 from playlens.streaming import bronze
 from tests.conftest import EVENT, SAMPLE, values
@@ -68,6 +69,27 @@ def test_stream_restart_adds_only_new_rows(spark, base, events):
     assert sorted(r.event_id for r in spark.read.parquet(table).collect()) == ["e0", "late", "x"]
 
 
+def test_stream_keeps_bad_messages_in_the_raw_layer(spark, base, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "m.txt").write_text(json.dumps(EVENT) + "\n{broken\n")
+    bronze.ingest_available(bronze.message_source(spark, "text", f"{base}/in"),
+                            f"{base}/table", f"{base}/checkpoint")
+    raw = spark.read.parquet(f"{base}/table")
+    assert raw.count() == 2
+    assert values(messages.unreadable(raw)) == [("{broken",)]
+    silver = build_silver(messages.combine(
+        messages.stamp(messages.readable(raw).drop("ingested_at", "source"), messages.BULK), raw))
+    assert [r.event_id for r in silver.collect()] == ["e1"]
+
+
+def test_bulk_keeps_bad_records(spark, base, tmp_path):
+    (tmp_path / "h.json").write_text(json.dumps(EVENT) + "\n{broken\n")
+    rows = tables.scan_json(spark, f"{base}/h.json", schemas.WATCH_EVENT, corrupt=messages.CORRUPT)
+    stored = tables.write_table(rows, f"{base}/t")
+    assert values(messages.unreadable(stored)) == [("{broken",)]
+    assert [r.event_id for r in messages.readable(stored).collect()] == ["e1"]
+
+
 def test_stream_and_batch_parse_alike(spark, base):
     _deliver(sample.watch_records(spark, SAMPLE), f"{base}/in")
     source = bronze.message_source(spark, "text", f"{base}/in")

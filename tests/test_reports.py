@@ -59,6 +59,19 @@ def test_location_by_hand(tables):
     assert len(west) == 2 and {r.region for r in west} == {"ASIA"}
 
 
+def test_city_in_two_regions_and_repeated_rows(spark, events):
+    """Equal to joining first, with users counted once per group."""
+    fact = build_fact(clean(events({"city": "a", "user_id": "u"}, {"city": "a", "user_id": "v"},
+                                   {"city": "a", "user_id": "v"}, {"city": None})))
+    dim = spark.createDataFrame([("a", "s", "R"), ("a", "s", "R"), ("a", "t", "R"),
+                                 ("b", "s", "R")], "city string, state string, region string")
+    got = reports.location_performance(fact, dim)
+    joined = fact.join(dim, "city").groupBy("city", "state", "region").agg(
+        F.count("event_id"), F.countDistinct("user_id"))
+    assert values(got, "city", "state", "region", "total_views", "unique_users") == values(
+        joined) == [("a", "s", "R", 6, 2), ("a", "t", "R", 3, 2)]
+
+
 def test_content_order_and_limit(tables):
     fact, dim = tables["fact_watch_events"], tables["dim_content"]
     whole = reports.content_performance(fact, dim, order_by="total_revenue").collect()
