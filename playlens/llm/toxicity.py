@@ -5,8 +5,9 @@ confirmed toxic documents, and documents of any kind, whose labels are not looke
 risk of the negatives is that of the unlabelled less ``prior`` times that of the positives
 taken as negatives; where this estimate falls below zero, the step goes the other way, so
 that the classifier cannot profit from fitting the positives out of the unlabelled (Kiryo
-et al., 2017). The prior is the toxic share of the labelled training rows. A soft threshold
-keeps words without evidence at weight zero, so a long text does not gather noise.
+et al., 2017). The prior is the toxic share of the labelled training rows. Only words get a
+weight whose share of documents differs between the two samples by ``EVIDENCE`` standard
+errors or more, so a long text does not gather noise.
 
 Bounds: training takes at most ``POSITIVES`` and ``UNLABELLED`` documents, those whose ids
 have the smallest hashes; they must be in the training fold. The prior is counted over all
@@ -28,9 +29,9 @@ from pyspark.sql import functions as F
 from playlens.llm.common import bucket, cut, text_blocks, texts
 
 FOLDS = 5
-POSITIVES, UNLABELLED = 2000, 8000
+POSITIVES, UNLABELLED = 2000, 16_000
 SLOTS = 1 << 18
-ROUNDS, STEP, SHRINK, BELOW = 150, 1.0, 1e-3, 0.0
+ROUNDS, STEP, BELOW, EVIDENCE = 200, 1.0, 0.0, 5.0
 BLOCK_BYTES = 8 << 20
 REMEMBERED = 1_000_000
 
@@ -101,6 +102,14 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _telling(p, u):
+    """The slots whose shares of documents differ between the samples beyond chance."""
+    a, b = np.bincount(p.slots, minlength=SLOTS), np.bincount(u.slots, minlength=SLOTS)
+    share = (a + b + 1) / (p.n + u.n + 2)
+    error = np.sqrt(share * (1 - share) * (1 / p.n + 1 / u.n))
+    return np.abs(a / p.n - b / u.n) >= EVIDENCE * error
+
+
 def train(positive, unlabelled, prior):
     """(weights, intercept) that lower the non-negative risk under the logistic loss."""
     weights = np.zeros(SLOTS)
@@ -109,6 +118,7 @@ def train(positive, unlabelled, prior):
     if not positive or not unlabelled or not prior:
         return weights, intercept if prior else -np.inf
     p, u = _Rows(positive), _Rows(unlabelled)
+    used = _telling(p, u)
     # Adaptive steps: slots that are rarely seen still move.
     seen, seen_0 = np.full(SLOTS, 1e-12), 1e-12
     for _ in range(ROUNDS):
@@ -124,8 +134,7 @@ def train(positive, unlabelled, prior):
         seen += g * g
         seen_0 += g0 * g0
         pace = STEP / np.sqrt(seen + 1e-6)
-        weights -= pace * g
-        weights = np.sign(weights) * np.maximum(0, np.abs(weights) - pace * SHRINK)
+        weights -= pace * np.where(used, g, 0)
         intercept -= STEP / np.sqrt(seen_0 + 1e-3) * g0
     return weights, float(intercept)
 
