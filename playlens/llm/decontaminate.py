@@ -4,7 +4,8 @@ Texts are normalised (A-Z to lower case) and cut into words, the runs of ASCII d
 ASCII letters and non-ASCII characters. A benchmark item gives its windows of 13 words, or
 one window of all its words if it has fewer. Every window of a document is looked up in
 the set of benchmark windows; the lookup compares the words themselves, so a hash is
-never taken for a hit. Only DataFrame functions are used.
+never taken for a hit. A bitmap of the hashed first three words of all benchmark windows, of
+fixed size, spares most places of a document the lookup. Only DataFrame functions are used.
 
 The set is broadcast in blocks of at most ``SET_BYTES``; a larger benchmark means more
 passes over the documents, never a larger broadcast. Nothing of the documents is shuffled
@@ -24,24 +25,63 @@ from pyspark.sql import functions as F
 
 from playlens.llm.common import cut, lowered, stored
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words as they stand; in lower case they hold no A-Z.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Bytes of benchmark windows in one broadcast.
 SET_BYTES = 32 << 20
+#: Words of a window's head, and bits of the map of heads.
+HEAD, MAP_BITS = 3, 1 << 19
 #: A document is contaminated if one word in so many is hit.
 ONE_IN = 20
 
 
 def words(text):
-    return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
+    """The normalised words of ``text``; only words with something to lower are translated."""
+    found = F.regexp_extract_all(
+        F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.transform(found, lambda w: F.when(w == F.lower(w), w).otherwise(lowered(w)))
+
+
+def _windows(column, length, starts=None):
+    """(pos, w) of the windows of ``length`` words, of all or those at ``starts``."""
+    last = F.size(column) - length
+    if starts is None:
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(
+            F.array().cast("array<int>"))
+    else:
+        starts = F.filter(starts, lambda i: i <= last)
+    return F.transform(starts, lambda i: F.struct(
+        i.alias("pos"), F.array_join(F.slice(column, i + 1, length), " ").alias("w")))
 
 
-def _windows(column, length):
-    """(pos, w) of all windows of ``length`` words; none if there are fewer words."""
-    starts = F.sequence(F.lit(0), F.size(column) - length)
-    return F.when(F.size(column) >= length, F.transform(starts, lambda i: F.struct(
-        i.alias("pos"), F.array_join(F.slice(column, i + 1, length), " ").alias("w")))
-    ).otherwise(F.array().cast("array<struct<pos:int,w:string>>"))
+def _head(column, i):
+    """The place in the bitmap of the first words of the window at ``i``."""
+    return F.pmod(F.xxhash64(*[F.get(column, i + j) for j in range(HEAD)]), F.lit(MAP_BITS))
+
+
+def _bitmap(sets):
+    """The heads of all windows of ``HEAD`` words or more, as an array of longs."""
+    head = _head(F.split("w", " "), F.lit(0))
+    found = sets.filter(F.col("len") >= HEAD).select(head.alias("h")).groupBy(
+        F.expr("h div 64").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))"))).collect()  # MAP_BITS / 64 rows
+    known = dict(map(tuple, found))
+    longs = ",".join(str(known.get(i, 0)) for i in range(MAP_BITS // 64))
+    return F.split(F.lit(longs), ",").cast("array<bigint>")
+
+
+def _candidates(column, bitmap):
+    """The places of ``column`` whose first words may begin a benchmark window."""
+    last = F.size(column) - HEAD
+    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(
+        F.array().cast("array<int>"))
+
+    def marked(i):
+        h = _head(column, i)
+        return F.call_function("getbit", F.get(bitmap, F.call_function(
+            "shiftright", h, F.lit(6)).cast("int")), (h % 64).cast("int")) == 1
+    return F.filter(places, marked)
 
 
 def benchmark_windows(benchmark: DataFrame, window=WINDOW):
@@ -66,6 +106,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window=WINDOW, set_bytes=SET_BYT
     tokens = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
         words(F.col("text").cast("string")).alias("ws"))
+    tokens = tokens.withColumn("places", _candidates(F.col("ws"), _bitmap(sets)))
     # One row with pos -1 carries the word count of a document past the join.
     own = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("w")))
 
@@ -73,7 +114,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window=WINDOW, set_bytes=SET_BYT
         wanted = sets if blocks == 1 else sets.filter(
             F.pmod(F.xxhash64("w"), F.lit(blocks)) == block)
         rows = tokens.select("row", "doc_id", F.size("ws").alias("n_words"), F.explode(
-            F.concat(own, *[_windows(F.col("ws"), n) for n in lengths])).alias("x"))
+            F.concat(own, *[_windows(F.col("ws"), n, F.col("places") if n >= HEAD else None)
+                            for n in lengths])).alias("x"))
         return (rows.select("row", "doc_id", "n_words", "x.pos", "x.w")
                 .join(F.broadcast(wanted), "w", "left")
                 .filter((F.col("pos") < 0) | F.col("wid").isNotNull())

@@ -3,7 +3,7 @@ and returns digest columns made from an operator's own output."""
 
 from pyspark.sql import functions as F
 
-from playlens.llm import chat, decontaminate, merge_replay, quality, simhash, toxicity
+from playlens.llm import chat, decontaminate, merge_replay, ppm, quality, simhash, toxicity
 from playlens.llm.common import table
 
 QUERIES = {}
@@ -57,3 +57,8 @@ def op6_chat_round_trip(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     return chat.read_back(chat.format_turns(rows.unionByName(planted)))
+
+
+@query
+def op2_ppm_score(spark, sf_dir):
+    return ppm.scores(table(spark, sf_dir, "documents"))
