@@ -3,7 +3,8 @@ and returns digest columns made from an operator's own output."""
 
 from pyspark.sql import functions as F
 
-from playlens.llm import chat, decontaminate, merge_replay, ppm, quality, simhash, toxicity
+from playlens.llm import (
+    chat, decontaminate, merge_replay, ppm, quality, simhash, suffix_dedup, toxicity)
 from playlens.llm.common import table
 
 QUERIES = {}
@@ -62,3 +63,8 @@ def op6_chat_round_trip(spark, sf_dir):
 @query
 def op2_ppm_score(spark, sf_dir):
     return ppm.scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_bucket_refinement_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
