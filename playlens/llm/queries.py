@@ -4,7 +4,7 @@ and returns digest columns made from an operator's own output."""
 from pyspark.sql import functions as F
 
 from playlens.llm import (
-    chat, decontaminate, merge_replay, ppm, quality, simhash, suffix_dedup, toxicity)
+    chat, decontaminate, merge_replay, neighbours, ppm, quality, simhash, suffix_dedup, toxicity)
 from playlens.llm.common import table
 
 QUERIES = {}
@@ -68,3 +68,9 @@ def op2_ppm_score(spark, sf_dir):
 @query
 def op3_bucket_refinement_dedup(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_collision_neighbours(spark, sf_dir):
+    return neighbours.nearest(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
