@@ -4,7 +4,8 @@ and returns digest columns made from an operator's own output."""
 from pyspark.sql import functions as F
 
 from playlens.llm import (
-    chat, decontaminate, merge_replay, neighbours, ppm, quality, simhash, suffix_dedup, toxicity)
+    chat, decontaminate, merge_replay, neighbours, ppm, quality, simhash, suffix_dedup,
+    token_files, toxicity)
 from playlens.llm.common import table
 
 QUERIES = {}
@@ -74,3 +75,8 @@ def op3_bucket_refinement_dedup(spark, sf_dir):
 def op1_collision_neighbours(spark, sf_dir):
     return neighbours.nearest(
         table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op8_mixing_token_files(spark, sf_dir):
+    return token_files.digests(table(spark, sf_dir, "documents"))
