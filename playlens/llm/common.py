@@ -18,6 +18,26 @@ def texts(docs, *more):
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
 
 
+def fresh(df, name):
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs):
+    """``docs`` with a column of each row's place in the scan, and that column's name."""
+    name = fresh(docs, "row_in_scan")
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def without_rows(docs, rows):
+    """``docs`` without the rows whose places in the scan are in ``rows`` (row)."""
+    marked, name = numbered(docs)
+    return marked.join(rows.select(F.col("row").alias(name)), name, "left_anti").drop(name)
+
+
 def lowered(text):
     """``text`` with A-Z, and nothing else, in lower case; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -23,7 +23,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import cut, lowered, stored
+from playlens.llm.common import cut, fresh, lowered, numbered, stored, without_rows
 
 #: Words as they stand; in lower case they hold no A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -153,22 +153,21 @@ def contamination(docs, benchmark, window=WINDOW, one_in=ONE_IN, set_bytes=SET_B
 
 def remove_documents(docs, benchmark, **parameters):
     """``docs`` without the contaminated ones, all columns kept."""
-    bad = contamination(docs, benchmark, **parameters).filter("contaminated").select("row")
-    return (docs.withColumn("row", F.monotonically_increasing_id())
-            .join(bad, "row", "left_anti").select(*docs.columns))
+    return without_rows(docs, contamination(docs, benchmark, **parameters).filter("contaminated"))
 
 
 def remove_spans(docs, benchmark, **parameters):
     """``docs`` with the hit words, and what separates them from the next word, cut out."""
-    rows = scan(docs, benchmark, **parameters).filter(F.size("spans") > 0)
-    # Piece 0 is what stands before the first word; piece i holds word i and its separator.
+    marked, row = numbered(docs)
+    spans = fresh(marked, "spans")
+    hit = scan(docs, benchmark, **parameters).filter(F.size("spans") > 0).select(
+        F.col("row").alias(row), F.col("spans").alias(spans))
     separator = WORD.replace("[^", "[")
-    pieces = F.regexp_extract_all("text", F.lit(f"({WORD})({separator})?"), F.lit(0))
-    head = F.regexp_extract("text", f"^({separator})?", 0)
+    # A piece is a word with the separator after it; the head stands before the first word.
+    pieces = F.regexp_extract_all("text", F.lit(f"{WORD}(?:{separator})?"), F.lit(0))
+    head = F.regexp_extract("text", f"^(?:{separator})?", 0)
     kept = F.filter(pieces, lambda _, i: ~F.exists(
-        "spans", lambda s: (s.pos <= i) & (i < s.pos + s.len)))
-    cleaned = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
+        spans, lambda s: (s.pos <= i) & (i < s.pos + s.len)))
+    cleaned = F.when(F.col(spans).isNull(), F.col("text")).otherwise(
         F.concat(head, F.array_join(kept, "")))
-    return (docs.withColumn("row", F.monotonically_increasing_id())
-            .join(rows.select("row", "spans"), "row", "left")
-            .withColumn("text", cleaned).select(*docs.columns))
+    return marked.join(hit, row, "left").withColumn("text", cleaned).drop(row, spans)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from playlens.llm.common import stored, text_blocks, texts
+from playlens.llm.common import stored, text_blocks, texts, without_rows
 
 LABELLED = 20_000
 BLOCK_BYTES = 8 << 20
@@ -182,6 +182,4 @@ def classify(docs, labels, host=None, path=None):
 
 def keep_good(docs, labels, host=None, path=None):
     """``docs`` without the rejected rows, all columns kept."""
-    rejected = classify(docs, labels, host, path).filter(~F.col("keep")).select("row")
-    return (docs.withColumn("row", F.monotonically_increasing_id())
-            .join(rejected, "row", "left_anti").select(*docs.columns))
+    return without_rows(docs, classify(docs, labels, host, path).filter(~F.col("keep")))

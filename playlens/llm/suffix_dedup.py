@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
-from playlens.llm.common import slices, stored, text_blocks, texts
+from playlens.llm.common import fresh, numbered, slices, stored, text_blocks, texts
 
 LENGTH = 400
 GRAM = 128  # a power of two
@@ -364,9 +364,8 @@ def _cut_texts(text: pd.Series, spans: pd.Series) -> pd.Series:
 
 def remove(docs):
     """``docs`` with the repeated strings cut out of ``text``, all columns kept."""
-    found = spans(docs)
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    joined = numbered.join(found, "row", "left")
-    return joined.withColumn("text", F.when(
-        F.col("spans").isNull(), F.col("text")).otherwise(_cut_texts("text", "spans"))).select(
-        *docs.columns)
+    marked, row = numbered(docs)
+    cut = fresh(marked, "spans")
+    found = spans(docs).select(F.col("row").alias(row), F.col("spans").alias(cut))
+    return marked.join(found, row, "left").withColumn("text", F.when(
+        F.col(cut).isNull(), F.col("text")).otherwise(_cut_texts("text", cut))).drop(row, cut)
