@@ -34,7 +34,7 @@ LEARNED = ("assistant",)
 
 _CONTROL = re.compile(r"<\|(\\*)(?=im_start\|>|im_end\|>)")
 _ESCAPED = re.compile(r"<\|\\(\\*)(?=im_start\|>|im_end\|>)")
-_HEAD = re.compile(r"<\|im_start\|>((?:[^\\\n]|\\[\\n<])*)(\\!)?\n")
+_HEAD = re.compile(r"<\|im_start\|>((?:[^\\\n]|\\[\\nl])*)(\\!)?\n")
 _MARK = re.compile(r"<\|im_(?:start|end)\|>")
 
 
@@ -48,7 +48,7 @@ def unescape(text):
 
 def render(role, text):
     """(rendered turn, start and end of the content in it)."""
-    shown = role.replace("\\", "\\\\").replace("\n", "\\n").replace("<", "\\<")
+    shown = role.replace("\\", "\\\\").replace("\n", "\\n").replace("<", "\\l")
     for mark, content in (("", text), ("\\!", escape(text))):
         head = f"{START}{shown}{mark}\n"
         whole = f"{head}{content}{END}\n"
@@ -62,7 +62,7 @@ def render(role, text):
 
 
 def unescape_role(role):
-    return re.sub(r"\\([\\n<])", lambda m: "\n" if m[1] == "n" else m[1], role)
+    return re.sub(r"\\([\\nl])", lambda m: {"n": "\n", "l": "<"}.get(m[1], m[1]), role)
 
 
 def parse(rendered):
