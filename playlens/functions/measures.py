@@ -6,7 +6,6 @@ share of the rows is then already one row per map task when it is shuffled.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # part name -> (aggregate function, column)
 PARTS = {
@@ -24,25 +23,6 @@ PARTS = {
     "weekend": ("sum", "is_weekend"),
 }
 
-# Decimals of up to this many digits are summed as long integers.
-_FAST_DIGITS = 8
-
-
-def exact_sum(column, kind):
-    """SQL for the exact sum of a column of type ``kind``.
-
-    Spark sums decimals of up to eight digits as long integers, several times faster
-    than wider ones. Wide columns whose values are small nearly everywhere are summed
-    that way, and the remaining values beside it in their own type.
-    """
-    if not isinstance(kind, T.DecimalType) or kind.precision <= _FAST_DIGITS:
-        return f"sum({column})"
-    small = f"sum(try_cast({column} AS decimal({_FAST_DIGITS},{kind.scale})))"
-    limit = 10 ** (_FAST_DIGITS - kind.scale)
-    large = f"sum({column}) FILTER (WHERE abs({column}) >= {limit})"
-    return f"coalesce({small} + {large}, {small}, {large})"
-
-
 def _rounded(expression):
     return f"double(round({expression}, 2))"
 
@@ -88,13 +68,10 @@ def partial(df, keys, measures, users=False):
     ``users`` adds the exact number of distinct users. It is no summable part: carry
     it, do not add it up.
     """
-    schema = df.schema
     columns = []
     for part in parts_of(measures):
         function, column = PARTS[part]
-        sql = (exact_sum(column, schema[column].dataType) if function == "sum"
-               else f"{function}({column})")
-        columns.append(F.expr(f"{sql} AS {part}"))
+        columns.append(F.expr(f"{function}({column}) AS {part}"))
     if users:
         columns.append(F.expr("count(DISTINCT user_id) AS unique_users"))
     return df.groupBy(*keys).agg(*columns)

@@ -3,11 +3,14 @@
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.operators import quality
-from playlens.sources.tables import scan_table
+from playlens.session import kept
+from playlens.sources import messages
+from playlens.sources.tables import not_there, scan_table
 
 # Dimension -> key its orphans are checked on.
 REFERENCES = {"dim_content": "content_id", "dim_locations": "city", "dim_devices": "device_type"}
@@ -25,13 +28,16 @@ class Checks:
     time_of_day: DataFrame | None = None
     orphans: DataFrame | None = None
     loss: DataFrame | None = None
+    rejected: DataFrame | None = None
     missing: dict[str, str] = field(default_factory=dict)
 
 
 def check_lake(spark, lake):
-    """Profile, null counts, ranges, distributions, orphans and loss of all layers.
+    """Profile, null counts, ranges, distributions, orphans, loss and rejected messages.
 
-    Layers that cannot be read are reported in ``missing`` and skipped.
+    Layers that are not there are reported in ``missing`` and skipped. Silver and fact are
+    scanned twice each, once for their keys and once for all the rest; what is counted is
+    kept in small tables below the shared work folder.
     """
     paths = {
         "bulk_history": lake.bulk_history,
@@ -44,30 +50,46 @@ def check_lake(spark, lake):
     for name, path in paths.items():
         try:
             layers[name] = scan_table(spark, path, lake.fmt)
-        except Exception as error:  # noqa: BLE001 - any read error means "not there"
+        except AnalysisException as error:
+            if not not_there(error):
+                raise
             missing[name] = str(error)
 
     events = {name: df for name, df in layers.items() if name not in REFERENCES}
     silver, fact = layers.get("watch_obt"), layers.get("fact_watch_events")
-    bulk = layers.get("bulk_history")
+    raw = [layers[name] for name in ("bulk_history", "stream_events") if name in layers]
+    bronze = messages.combine(*raw) if raw else None
+    small = {}
+    if silver is not None:
+        small["watch_obt"] = kept(quality.gathered(
+            silver, ["completion_category", "time_of_day"], quality.range_flags(silver)))
+    if fact is not None:
+        small["fact_watch_events"] = kept(quality.gathered(fact, list(REFERENCES.values())))
+    for name in events.keys() - small.keys():
+        small[name] = quality.gathered(events[name], [])
     orphans = [
-        quality.orphans(fact, layers[dim], key).select(F.lit(dim).alias("dimension"), "*")
+        quality.total_orphans(small["fact_watch_events"], layers[dim], key).select(
+            F.lit(dim).alias("dimension"), "*")
         for dim, key in REFERENCES.items() if fact is not None and dim in layers
     ]
     of_silver = {} if silver is None else {
-        "range_stats": quality.range_stats(silver),
-        "invalid": quality.invalid_counts(silver),
-        "completion": quality.distribution(silver, "completion_category"),
-        "time_of_day": quality.distribution(silver, "time_of_day"),
+        "range_stats": quality.total_ranges(small["watch_obt"]),
+        "invalid": quality.total_invalid(small["watch_obt"]),
+        "completion": quality.total_distribution(small["watch_obt"], "completion_category"),
+        "time_of_day": quality.total_distribution(small["watch_obt"], "time_of_day"),
     }
+    profile = kept(reduce(DataFrame.unionByName, [
+        quality.profile(name, df, ["event_id"]) for name, df in events.items()
+    ])) if events else None
     return Checks(
-        profile=reduce(DataFrame.unionByName, [
-            quality.profile(name, df, ["event_id"]) for name, df in events.items()
-        ]) if events else None,
-        nulls={name: quality.null_counts(df) for name, df in events.items()},
+        profile=profile,
+        nulls={name: quality.total_nulls(small[name]) for name in events},
         orphans=reduce(DataFrame.unionByName, orphans) if orphans else None,
-        loss=(quality.layer_loss(bulk, silver, fact)
-              if all(t is not None for t in (bulk, silver, fact)) else None),
+        loss=(quality.layer_loss(
+            bronze, quality.profiled(profile, "watch_obt"),
+            quality.profiled(profile, "fact_watch_events"))
+            if all(t is not None for t in (bronze, silver, fact)) else None),
+        rejected=quality.rejected(bronze) if bronze is not None else None,
         missing=missing,
         **of_silver,
     )

@@ -42,7 +42,17 @@ def hourly_pulse(fact):
 def trending_content(fact, days=7, n=10):
     """The most viewed contents of the last ``days`` days before the latest event."""
     ts = F.col("event_timestamp")
-    latest = fact.agg(F.max("event_timestamp")).scalar()
+    if "event_date" in fact.columns:
+        # Days are partitions: the last one is found by listing, and only days in reach are read.
+        day = fact.agg(F.max("event_date").alias("day")).first().day
+        if day is not None:
+            last = F.lit(day)
+            latest = fact.filter(F.col("event_date") == last).agg(F.max("event_timestamp")).scalar()
+            fact = fact.filter(F.col("event_date") >= F.date_sub(last, days))
+        else:
+            latest = F.lit(None).cast("timestamp")
+    else:
+        latest = fact.agg(F.max("event_timestamp")).scalar()
     recent = fact.filter(ts > latest - F.make_dt_interval(F.lit(days)))
     return aggregate(recent, ["content_id"], ["total_views"]).orderBy(
         F.desc("total_views"), "content_id").limit(n)

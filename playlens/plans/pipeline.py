@@ -3,13 +3,18 @@
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
+
 from playlens import schemas
 from playlens.operators import dims
 from playlens.operators.fact import build_fact
-from playlens.operators.keys import dense_keys
+from playlens.operators.keys import dense_keys, new_keys
 from playlens.operators.silver import build_silver
+from playlens.plans import gold
+from playlens.session import temporary_dir
 from playlens.sources.messages import BULK, combine, stamp
-from playlens.sources.tables import save_gold, write_table
+from playlens.sources.tables import not_there, save_gold, scan_table, write_table
 
 
 @dataclass(frozen=True)
@@ -46,32 +51,82 @@ DIMENSIONS = {
 }
 
 
+_WITH_RULES = (dims.dim_content, dims.dim_users, dims.dim_locations)
+
+# gold aggregate -> (builder, its tables)
+AGGREGATES = {
+    "gold_content_performance": (gold.content_performance, ("fact_watch_events", "dim_content")),
+    "gold_user_engagement": (gold.user_engagement, ("silver",)),
+    "gold_device_analytics": (gold.device_analytics, ("silver",)),
+    "gold_revenue_summary": (gold.revenue_summary, ("silver",)),
+    "gold_hourly_pulse": (gold.hourly_pulse, ("fact_watch_events",)),
+    "gold_trending_content": (gold.trending_content, ("fact_watch_events",)),
+}
+
+
 def load_bronze_bulk(records, lake):
     """History records, stamped, into the raw layer."""
     return write_table(stamp(records, BULK), lake.bulk_history, lake.fmt)
 
 
 def load_silver(bulk, stream, lake):
-    """Bulk and stream rows combined, deduplicated and cleaned, stored by day."""
+    """Bulk and stream rows combined, deduplicated and cleaned, stored by day.
+
+    ``stream`` is None before the first message."""
     return write_table(build_silver(combine(bulk, stream)), lake.watch_obt, lake.fmt,
                        partition_by=("event_date",))
 
 
-def load_gold(silver, lake):
-    """The five dimensions with keys and the fact, written and read back.
+def _stored(spark, path, fmt):
+    """A table as it is before this load, or None before the first."""
+    try:
+        return scan_table(spark, path, fmt)
+    except AnalysisException as error:
+        if not not_there(error):
+            raise
+        return None
 
-    The tables do not depend on each other, so their jobs run side by side and the
-    short ones fill the gaps of the long ones.
+
+def load_gold(silver, lake, drops=None):
+    """The five dimensions with keys, the fact and the gold aggregates, read back.
+
+    Dimension rows that are stored keep their keys; rows that are new get keys above them and
+    are appended. ``drops``, if given, gets ``{dimension: {rule: rows dropped, "rows": rows
+    seen}}``. Dimensions and fact do not depend on each other, so their jobs run side by side
+    and the short ones fill the gaps of the long ones; then the aggregates do.
     """
+    spark = silver.sparkSession
+
     def dimension(name):
         build, natural, key = DIMENSIONS[name]
-        return save_gold(dense_keys(build(silver), natural, key), lake.gold, name, lake.fmt)
+        counted = Observation(name) if build in _WITH_RULES and drops is not None else None
+        rows = build(silver, dropped=counted) if counted else build(silver)
+        known = _stored(spark, f"{lake.gold}/{name}", lake.fmt)
+        with temporary_dir(spark, "dense_keys") as path:
+            if known is None:
+                table = save_gold(dense_keys(rows, natural, key, path), lake.gold, name, lake.fmt)
+            else:
+                table = save_gold(new_keys(rows, known, natural, key, path), lake.gold, name,
+                                  lake.fmt, mode="append")
+        if counted:
+            drops[name] = counted.get
+        return table
 
     def fact(name):
         return save_gold(build_fact(silver, stamped=True), lake.gold, name, lake.fmt,
                          partition_by=("event_date",), rebalance=False)
 
-    with ThreadPoolExecutor(len(DIMENSIONS) + 1) as jobs:
-        started = {"fact_watch_events": jobs.submit(fact, "fact_watch_events")}
-        started |= {name: jobs.submit(dimension, name) for name in DIMENSIONS}
-        return {name: job.result() for name, job in started.items()}
+    def aggregated(name):
+        build, inputs = AGGREGATES[name]
+        return save_gold(build(*[tables[i] for i in inputs]), lake.gold, name, lake.fmt)
+
+    def side_by_side(builds):
+        with ThreadPoolExecutor(len(builds)) as jobs:
+            started = {name: jobs.submit(build, name) for name, build in builds.items()}
+            return {name: job.result() for name, job in started.items()}
+
+    tables = side_by_side({"fact_watch_events": fact, **dict.fromkeys(DIMENSIONS, dimension)})
+    tables["silver"] = silver
+    tables |= side_by_side(dict.fromkeys(AGGREGATES, aggregated))
+    del tables["silver"]
+    return tables

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.measures import (add_parts, aggregate, aggregate_star, finish,
                                          partial)
+from playlens.session import kept
 
 # Measures of the four report shapes.
 AGGREGATION_MEASURES = ["total_views", "avg_completion", "avg_engagement", "total_revenue",
@@ -136,11 +137,15 @@ class Outcome:
 
 
 def run_reports(reports, tables, show=False):
-    """``{name: Outcome}``; a failing report does not stop the others."""
+    """``{name: Outcome}``; a failing report does not stop the others.
+
+    Each report runs here, once, and its rows are kept in their order at a checkpoint, so ``ok``
+    means that it ran to its end.
+    """
     outcomes = {}
     for report in reports:
         try:
-            frame = report.build(tables)
+            frame = kept(report.build(tables))
             if show:
                 frame.show(truncate=False)
             outcomes[report.name] = Outcome(frame)

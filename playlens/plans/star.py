@@ -12,25 +12,29 @@ def genre_views(fact, dim_content):
         F.desc("total_views"), "genre")
 
 
-def _revenue(fact, dim_users, on):
-    return aggregate_star(fact, dim_users, on, ["subscription_plan"],
-                          ["total_views", "price_revenue"],
-                          {"price_revenue": "total_revenue"}).orderBy(
-        F.desc("total_revenue"), "subscription_plan")
+_REVENUE = (["total_views", "price_revenue"], {"price_revenue": "total_revenue"})
+
+
+def _ranked(revenue):
+    return revenue.orderBy(F.desc("total_revenue"), "subscription_plan")
 
 
 def revenue_by_plan_literal(fact, dim_users):
     """Views and revenue per plan, joined on the user alone.
 
-    A user with several plans has several dimension rows, so their views count once
-    for every plan. Kept beside ``revenue_by_plan`` as the form users run today.
+    The dimension is one row per user, plan and price, without the age group. A user with
+    several plans has several rows, so their views count once for every plan. Kept beside
+    ``revenue_by_plan`` as the form users run today.
     """
-    return _revenue(fact, dim_users, "user_id")
+    users = dim_users.select("user_id", "subscription_plan", "subscription_price").distinct()
+    return _ranked(aggregate_star(fact, users, "user_id", ["subscription_plan"], *_REVENUE))
 
 
 def revenue_by_plan(fact, dim_users):
-    """Views and revenue per plan, each view counted for its own plan."""
-    return _revenue(fact, dim_users, ["user_id", "subscription_plan"])
+    """Views and revenue per plan, each view of a known user and plan counted once."""
+    keys = ["user_id", "subscription_plan"]
+    known = dim_users.select(*keys).distinct()
+    return _ranked(aggregate_star(fact, known, keys, ["subscription_plan"], *_REVENUE))
 
 
 def top_content(fact, dim_content):

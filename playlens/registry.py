@@ -16,9 +16,9 @@ from playlens.functions import features
 from playlens.operators import dims, quality
 from playlens.operators.expectations import expect_or_drop, failures
 from playlens.operators.fact import build_fact
-from playlens.operators.keys import dense_keys
+from playlens.operators.keys import dense_keys, new_keys
 from playlens.operators.silver import build_silver, clean, deduplicate, summary
-from playlens.plans import gold, reports, star
+from playlens.plans import gold, pipeline, reports, star
 from playlens.plans.pipeline import DIMENSIONS
 from playlens.session import work_dir
 from playlens.sources import messages, sample, tables
@@ -50,13 +50,17 @@ def fact(spark, sf_dir, place=False):
 
 
 def bronze(spark, sf_dir, content=False, place=False):
-    """Every event twice: in the history load of 16 January and, five seconds after
-    it happened, from the stream."""
-    events = sample.watch_events(spark, sf_dir, content, place, clamp=False)
+    """Every event twice: in the history load of 16 January and, five seconds after it
+    happened, from the stream. The stream has each tenth event a second time in the same
+    load, with another action."""
+    events = sample.watch_events(spark, sf_dir, content, place)
     ts = F.col("event_timestamp")
     loaded = F.lit(BULK_LOADED_AT).cast(events.schema["event_timestamp"].dataType)
     bulk = messages.stamp(events, messages.BULK, loaded)
-    live = messages.stamp(events, messages.STREAM, ts + F.make_dt_interval(secs=F.lit(5)))
+    again = events.filter("cast(event_id AS bigint) % 10 = 0").withColumn(
+        "action", F.expr("concat('again ', action)"))
+    live = messages.stamp(events.unionByName(again), messages.STREAM,
+                          ts + F.make_dt_interval(secs=F.lit(5)))
     return messages.combine(bulk, live)
 
 
@@ -206,7 +210,7 @@ def device_category(spark, sf_dir):
 @query
 def dedupe_event_id(spark, sf_dir):
     return deduplicate(bronze(spark, sf_dir)).select(
-        "event_id", "event_timestamp", "user_id", "source", "ingested_at")
+        "event_id", "event_timestamp", "user_id", "action", "source", "ingested_at")
 
 
 @query
@@ -222,12 +226,14 @@ def silver_summary(spark, sf_dir):
 
 @query
 def top_titles(spark, sf_dir):
-    return tables.most_frequent(silver(spark, sf_dir, content=True), "content_title", 5)
+    known = clean(sample.seen_contents(spark, sf_dir)).distinct()
+    return tables.most_frequent_of(silver(spark, sf_dir), "content_id", known, "content_title", 5)
 
 
 @query
 def top_cities(spark, sf_dir):
-    return tables.most_frequent(silver(spark, sf_dir, place=True), "city", 5)
+    places = sample.places(spark, sf_dir).withColumn("user_id", F.expr("string(user_no)"))
+    return tables.most_frequent_of(silver(spark, sf_dir), "user_id", places, "city", 5)
 
 
 @query
@@ -274,8 +280,11 @@ def dim_keys(spark, sf_dir):
     keyed = []
     for name, (_, natural, _) in DIMENSIONS.items():
         text = F.concat_ws("|", *[F.col(c).cast("string") for c in natural])
-        keyed.append(dense_keys(built[name], natural, "dim_key").select(
-            F.lit(name).alias("dim"), text.alias("natural_key"), "dim_key"))
+        # A first load of the rows that sort before "M", then one of all: old keys stay.
+        early = text < "M"
+        first = dense_keys(built[name].filter(early), natural, "dim_key")
+        both = first.unionByName(new_keys(built[name], first, natural, "dim_key"))
+        keyed.append(both.select(F.lit(name).alias("dim"), text.alias("natural_key"), "dim_key"))
     return reduce(DataFrame.unionByName, keyed)
 
 
@@ -345,12 +354,63 @@ def dq_null_counts(spark, sf_dir):
 
 @query
 def dq_range_stats(spark, sf_dir):
-    return quality.range_stats(silver(spark, sf_dir, clamp=False))
+    return quality.range_stats(silver(spark, sf_dir))
 
 
 @query
 def dq_range(spark, sf_dir):
-    return quality.invalid_counts(silver(spark, sf_dir, clamp=False))
+    return quality.invalid_counts(silver(spark, sf_dir))
+
+
+def odd_messages(spark, sf_dir):
+    """A message per event: each seventh with a completion beyond the range, each eleventh cut
+    off, each thirteenth with a fraction where a whole number belongs, each seventeenth with
+    a time that is none."""
+    records = sample.watch_records(spark, sf_dir)
+    n = F.expr("cast(event_id AS bigint)")
+    odd = records.withColumns({
+        "completion_pct": F.when(n % 7 == 0, F.element_at(F.array(
+            *[F.lit(x) for x in (1e12, float("inf"), float("nan"), 150.0)]),
+            (F.floor(n / 7) % 4 + 1).cast("int"))).otherwise(F.col("completion_pct")),
+        "event_timestamp": F.when(n % 17 == 0, F.lit("no time")).otherwise(
+            F.col("event_timestamp")),
+    })
+    return messages.encode(odd).select("key", F.expr("""
+        CASE WHEN cast(key AS bigint) % 11 = 0 THEN substr(value, 1, 40)
+             WHEN cast(key AS bigint) % 13 = 0
+             THEN replace(value, '"total_duration_mins":100', '"total_duration_mins":45.5')
+             ELSE value END AS value"""))
+
+
+@query
+def rejected_messages(spark, sf_dir):
+    """Messages of which nothing, or not all, was read."""
+    return messages.rejected(messages.decode(odd_messages(spark, sf_dir), body="value"))
+
+
+@query
+def dq_range_of_messages(spark, sf_dir):
+    """Range checks and unreadable times of messages with any number in them."""
+    rows = clean(messages.readable(messages.decode(odd_messages(spark, sf_dir), body="value")))
+    invalid = quality.invalid_counts(rows)
+    unread = rows.agg(F.count_if(F.col("event_timestamp").isNull()).alias("no_time"),
+                      F.count_if(F.col("total_duration_mins").isNull()).alias("no_duration"))
+    return reduce(DataFrame.unionByName, [df.unpivot([], df.columns, "check", "row_count")
+                                          for df in (invalid, unread)])
+
+
+@query
+def publish_counts(spark, sf_dir):
+    """What was sent, and what arrived; one body is above 1 MiB."""
+    path = work_dir(spark, "publish_counts")
+    sent = messages.encode(sample.watch_records(spark, sf_dir)).withColumn("value", F.when(
+        F.col("key") == "0", F.repeat(F.lit("x"), 1_100_000)).otherwise(F.col("value")))
+    done = messages.publish(sent, "parquet", path=path)
+    stored = spark.read.parquet(path)
+    return stored.agg(
+        F.lit(done["success_count"]).alias("success_count"),
+        F.lit(done["failed_count"]).alias("failed_count"), F.count("*").alias("stored"),
+        F.max(F.octet_length("value")).alias("largest"))
 
 
 @query
@@ -394,12 +454,12 @@ def dq_orphan_device(spark, sf_dir):
 def dq_cross_layer(spark, sf_dir):
     raw = bronze(spark, sf_dir)
     cleaned = clean(deduplicate(raw))
-    kept = expect_or_drop(cleaned, {"valid_completion": RULES["valid_completion"]})
-    return quality.layer_loss(raw, cleaned, build_fact(kept, ["event_id"]))
+    valid = expect_or_drop(cleaned, {"valid_completion": RULES["valid_completion"]})
+    return quality.layer_loss(raw, cleaned, build_fact(valid, ["event_id"]))
 
 
 def _ruled(spark, sf_dir):
-    return silver(spark, sf_dir, content=True, place=True, clamp=False)
+    return silver(spark, sf_dir, content=True, place=True)
 
 
 @query
@@ -464,13 +524,44 @@ def report_all_location(spark, sf_dir):
     return report("all_location_performance", spark, sf_dir)
 
 
+def filled_lake(spark, sf_dir):
+    """A lake from files: history as JSON arrays and all events again as messages."""
+    base = work_dir(spark, "lake")
+    records = sample.watch_records(spark, sf_dir)
+    arrays = records.groupBy(F.expr("cast(event_id AS bigint) div 10000").alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*records.columns))).alias("value"))  # 10,000 each
+    arrays.write.partitionBy("part").text(f"{base}/history")
+    messages.publish(odd_messages(spark, sf_dir), "text", path=f"{base}/incoming")
+    lake = pipeline.Lake(base)
+    bulk = pipeline.load_bronze_bulk(
+        tables.scan_json(spark, f"{base}/history/*", schemas.WATCH_EVENT, array=True), lake)
+    stream.ingest_available(stream.message_source(spark, "text", f"{base}/incoming"),
+                            lake.stream_events, f"{base}/checkpoint")
+    return lake, pipeline.load_silver(bulk, tables.scan_table(spark, lake.stream_events), lake)
+
+
 @query
 def views_by_device_end_to_end(spark, sf_dir):
-    """Bulk and stream rows combined, deduplicated, cleaned, reported."""
-    built = build_silver(bronze(spark, sf_dir))
-    return reports.aggregation(build_fact(built, [
-        "event_id", "device_type", "completion_pct", "engagement_score", "revenue_per_view",
-        "is_completed", "is_dropped"]), "device_type", limit=10)
+    """History files and messages to raw tables, silver, gold, and a report on the stored fact."""
+    lake, built = filled_lake(spark, sf_dir)
+    pipeline.load_gold(built, lake)
+    stored = tables.registered_or_path(spark, "playlens_gold", "fact_watch_events",
+                                       f"{lake.gold}/fact_watch_events")
+    return reports.aggregation(stored, "device_type", limit=10)
+
+
+@query
+def run_reports_status(spark, sf_dir):
+    """The nine reports and one that fails when it runs."""
+    sources = {"fact_watch_events": fact(spark, sf_dir, True),
+               "dim_content": content_dim(spark, sf_dir),
+               "dim_locations": location_dim(spark, sf_dir)}
+    failing = reports.Report("failing", lambda rows: rows.select(
+        F.raise_error(F.lit("no report")).alias("views")))
+    found = reports.run_reports([failing, *reports.configured(GENRE, REGION)], sources)
+    return spark.createDataFrame(
+        [(name, outcome.ok, outcome.frame.count() if outcome.ok else None)
+         for name, outcome in found.items()], "report string, ok boolean, row_count long")
 
 
 # ---- gold -----------------------------------------------------------------------

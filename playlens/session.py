@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +37,22 @@ def work_dir(spark, name):
         base = tempfile.mkdtemp(prefix="playlens-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/playlens/{name}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def temporary_dir(spark, name):
+    """A ``work_dir`` that is deleted when the block ends; read nothing from it later."""
+    path = work_dir(spark, name)
+    try:
+        yield path
+    finally:
+        files = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
+
+
+def kept(df):
+    """A small result run now and kept at a checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

@@ -20,14 +20,8 @@ BY_EVENT = {
     "subscription_plan": ("BASIC", "STANDARD", "PREMIUM"),
     "subscription_price": (149, 299, 649),
 }
-# The number in props. Text of the usual form is cut out, which costs a small part of
-# parsing it; any other JSON is parsed.
-CONTENT_NO = """
-coalesce(
-  CASE WHEN startswith(props, '{"k": ') AND endswith(props, '}')
-       THEN try_cast(substr(props, 7, length(props) - 7) AS bigint) END,
-  try_cast(get_json_object(props, '$.k') AS bigint))
-"""
+# The number in props.
+CONTENT_NO = "try_cast(get_json_object(props, '$.k') AS bigint)"
 
 
 def read(spark, sf_dir, table):
@@ -60,11 +54,11 @@ def places(spark, sf_dir):
     )
 
 
-def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
+def watch_events(spark, sf_dir, content=False, place=False):
     """Watch events with a typed ``event_timestamp`` and decimal ``completion_pct``.
 
-    ``content`` and ``place`` add the columns that need a join. ``clamp`` limits the
-    completion to 100; without it the raw values remain, for the range checks.
+    ``content`` and ``place`` add the columns that need a join. Some completions are above
+    100, as a producer may send them.
     """
     pct = features.completion_pct("value", "100")
     source = read(spark, sf_dir, "events").select(
@@ -73,10 +67,6 @@ def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
         F.expr(f"{CONTENT_NO} AS content_no"),
         pct.alias("pct"),
     )
-    if clamp:
-        source = source.withColumn(
-            "pct", F.expr(f"CASE WHEN pct > 100 THEN cast(100 AS {PERCENT.simpleString()}) "
-                          "ELSE pct END"))
     if content:
         source = source.join(contents(spark, sf_dir), "content_no", "left")
     if place:
@@ -87,7 +77,8 @@ def watch_events(spark, sf_dir, content=False, place=False, clamp=True):
         "event_timestamp": F.col("ts"),
         **features.calendar_features("ts"),
         "user_id": F.expr("string(user_no)"),
-        "age_group": features.pick(AGE_GROUPS, f"pmod(user_no, {len(AGE_GROUPS)})"),
+        "age_group": features.pick(
+            AGE_GROUPS, f"pmod(event_id div 3, {len(AGE_GROUPS)})"),
         "content_id": F.expr("string(content_no)"),
         "action": F.col("event_type"),
         "watch_duration_mins": F.expr(f"cast(value AS {PERCENT.simpleString()})"),
@@ -124,7 +115,7 @@ def seen_places(spark, sf_dir):
 
 def watch_records(spark, sf_dir):
     """All 27 fields as a producer sends them: the time as ISO text."""
-    events = watch_events(spark, sf_dir, content=True, place=True, clamp=False)
+    events = watch_events(spark, sf_dir, content=True, place=True)
     text = F.date_format(F.col("event_timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return events.withColumns({"event_timestamp": text,
                                "completion_pct": F.col("completion_pct").cast("double")})

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Formats that are read with the schema of what was written.
+_FILES = ("parquet", "orc", "avro", "json")
+
+
+def not_there(error):
+    """Whether an error says that a table has not been written, or has no file yet."""
+    return (error.getCondition() or "").split(".")[0] in (
+        "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def scan_table(spark, path, fmt="parquet", schema=None, **options):
     reader = spark.read.format(fmt).options(**options)
     return (reader.schema(schema) if schema is not None else reader).load(path)
@@ -45,7 +55,10 @@ def write_table(df, path, fmt="parquet", mode="overwrite", partition_by=(), reba
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    reader = df.sparkSession.read.format(fmt)
+    if fmt in _FILES:  # a partitioned table without rows has no file that says its schema
+        reader = reader.schema(df.schema)
+    return reader.load(path).select(*df.columns)
 
 
 def save_gold(df, base, name, fmt="parquet", **layout):
@@ -59,11 +72,16 @@ def save_gold(df, base, name, fmt="parquet", **layout):
 
 
 def register_table(spark, database, name, path, fmt="parquet", location=None):
-    """Register the table at ``path`` as ``database.name``, replacing a former one."""
+    """Register the table at ``path`` as ``database.name``, replacing a former one.
+
+    The catalog learns the partitions that are there; without that it would show no rows.
+    """
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     spark.sql(f"CREATE TABLE {database}.{name} USING {fmt} LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
+        spark.catalog.recoverPartitions(f"{database}.{name}")
     return spark.table(f"{database}.{name}")
 
 
@@ -85,3 +103,14 @@ def most_frequent(df, column, n=None):
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("views")).orderBy(
         F.desc("views"), column)
     return counted.limit(n) if n else counted
+
+
+def most_frequent_of(rows, key, lookup, column, n=None):
+    """``most_frequent`` of a ``column`` that ``lookup`` has once per ``key``.
+
+    Rows are counted per key before they meet the lookup, so a frequent key is one row
+    there."""
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("views"))
+    named = counted.join(lookup.select(key, column), key, "left").groupBy(column).agg(
+        F.sum("views").alias("views")).orderBy(F.desc("views"), column)
+    return named.limit(n) if n else named

@@ -6,7 +6,7 @@ from playlens import schemas
 from playlens.operators.silver import build_silver
 from playlens.sources import messages, sample, tables
 from playlens.streaming import bronze
-from tests.conftest import EVENT, SAMPLE, values
+from tests.conftest import EVENT, SAMPLE, plan, values
 
 
 def test_encode_then_decode_gives_the_same_rows(spark):
@@ -30,12 +30,39 @@ def test_narrow_schema_reads_three_fields_only(spark):
     assert tuple(row) == ("e1", "u-1", "c-1", None, None, None)
 
 
-def test_publish_counts_and_leaves_out_large_messages(spark, base):
+def test_one_bad_field_does_not_lose_the_message(spark):
+    odd = json.dumps({**EVENT, "total_duration_mins": 45.5})
+    frame = spark.createDataFrame([(odd,), (json.dumps(EVENT),), ("{x",), (None,)], "body string")
+    decoded = messages.decode(frame)
+    rows = messages.readable(decoded).filter("event_id IS NOT NULL")
+    assert values(rows, "event_id", "completion_pct", "total_duration_mins") == [
+        ("e1", 50.0, 90), ("e1", 50.0, None)]
+    assert values(messages.rejected(decoded)) == [
+        ("empty", 1), ("partly_readable", 1), ("unreadable", 1)]
+    assert build_silver(messages.ingest(frame)).filter("event_id = 'e1'").count() == 1
+
+
+def test_each_message_is_parsed_once(spark):
+    frame = spark.createDataFrame([(json.dumps(EVENT),)], "body string")
+    assert plan(messages.readable(messages.decode(frame))).count("from_json") == 1
+
+
+def test_publish_sends_everything(spark, base):
+    frame = spark.createDataFrame([("a", "x" * 5), ("b", "x" * 1_100_000), ("c", None)],
+                                  "key string, value string")
+    done = messages.publish(frame, "parquet", path=f"{base}/out")
+    assert done == {"status": "complete", "success_count": 3, "failed_count": 0}
+    assert sorted(r.key for r in spark.read.parquet(f"{base}/out").collect()) == ["a", "b", "c"]
+
+
+def test_publish_keeps_what_a_sink_refuses(spark, base):
     frame = spark.createDataFrame([("a", "x" * 5), ("b", "x" * 50), ("c", None)],
                                   "key string, value string")
-    done = messages.publish(frame, "parquet", max_bytes=10, path=f"{base}/out")
+    done = messages.publish(frame, "parquet", max_bytes=10, rejects=f"{base}/rejects",
+                            path=f"{base}/out")
     assert done == {"status": "complete", "success_count": 1, "failed_count": 2}
     assert [r.key for r in spark.read.parquet(f"{base}/out").collect()] == ["a"]
+    assert sorted(r.key for r in spark.read.parquet(f"{base}/rejects").collect()) == ["b", "c"]
 
 
 def test_json_array_and_json_lines(spark, base, tmp_path):

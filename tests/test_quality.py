@@ -51,11 +51,11 @@ def test_orphans_count_null_and_unknown_keys(spark):
 
 def test_layer_loss(spark):
     def rows(n):
-        return spark.range(n)
+        return spark.range(n).selectExpr("string(id) AS event_id")
 
     assert values(quality.layer_loss(rows(100), rows(91), rows(90))) == [
-        (100, 91, 90, 9.0, 1.1, True, True)]
+        (100, 0, 91, 90, 9.0, 1.1, True, True)]
     assert values(quality.layer_loss(rows(100), rows(90), rows(85))) == [
-        (100, 90, 85, 10.0, 5.6, False, False)]
+        (100, 0, 90, 85, 10.0, 5.6, False, False)]
     assert values(quality.layer_loss(rows(0), rows(0), rows(0))) == [
-        (0, 0, 0, None, None, None, None)]
+        (0, 0, 0, 0, None, None, None, None)]

@@ -135,6 +135,9 @@ def test_all_nine_run_and_one_failure_is_kept_apart(tables):
     assert not outcomes["broken"].ok and "missing" in outcomes["broken"].error
     assert all(outcomes[r.name].ok for r in chosen)
     assert len(outcomes["all_location_performance"].frame.collect()) == 8
+    late = reports.Report("late", lambda fact: fact.select(F.raise_error(F.lit("late error"))))
+    outcome = reports.run_reports([late], tables)["late"]
+    assert not outcome.ok and "late error" in outcome.error
     missing_table = reports.run_reports(chosen, {})
     assert not any(o.ok for o in missing_table.values())
 

@@ -1,8 +1,10 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from playlens.operators.quality import invalid_counts
 from playlens.operators.silver import build_silver, clean, deduplicate, summary
 from playlens.sources import sample
 from playlens.sources.messages import BULK, STREAM, combine, stamp
@@ -46,6 +48,24 @@ def test_deduplicate_keeps_the_first_by_order(spark):
         spark.createDataFrame([("a", 2), ("b", 4), (None, 5)], "event_id string, n int"))
 
 
+def test_survivor_does_not_depend_on_the_order_of_rows(spark):
+    rows = [("a", "t", BULK, x) for x in ("PLAY", "COMPLETE", "STOP")]
+    for turned in (rows, rows[::-1], rows[1:] + rows[:1]):
+        frame = spark.createDataFrame(turned, "event_id string, ingested_at string, "
+                                              "source string, action string")
+        assert values(deduplicate(frame), "action") == [("COMPLETE",)]
+    with pytest.raises(ValueError):
+        deduplicate(frame, order=("loaded",))
+
+
+def test_numbers_beyond_the_decimal_are_seen(events):
+    sent = (1e12, float("inf"), float("nan"), 150.0, -1.0, 50.0, None)
+    silver = clean(events(*[{"completion_pct": p} for p in sent]))
+    assert invalid_counts(silver).first().invalid_completion == 5
+    assert values(silver.filter("completion_raw > 1000"), "completion_category") == [
+        ("COMPLETED",)] * 3
+
+
 def test_deduplicate_without_order(spark):
     frame = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "event_id string, n int")
     assert values(deduplicate(frame, order=())) == [("a", 1), ("b", 2)]
