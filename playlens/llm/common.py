@@ -1,10 +1,11 @@
 """What the operators of this folder share."""
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.session import work_dir
+from playlens.session import kept, work_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,6 +39,21 @@ def without_rows(docs, rows):
     return marked.join(rows.select(F.col("row").alias(name)), name, "left_anti").drop(name)
 
 
+def bitmap(places, bits):
+    """An array of longs with the bits at ``places`` (one column below ``bits``) set."""
+    found = places.toDF("h").groupBy(F.expr("h div 64").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))"))).collect()  # bits / 64 rows
+    known = dict(map(tuple, found))
+    longs = ",".join(str(known.get(i, 0)) for i in range(bits // 64))
+    return F.split(F.lit(longs), ",").cast("array<bigint>")
+
+
+def has_bit(longs, place):
+    """Whether the bit at ``place`` of a ``bitmap`` is set."""
+    at = F.call_function("shiftright", place, F.lit(6)).cast("int")
+    return F.call_function("getbit", F.get(longs, at), (place % 64).cast("int")) == 1
+
+
 def lowered(text):
     """``text`` with A-Z, and nothing else, in lower case; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -55,12 +71,7 @@ def stored(df: DataFrame, name: str, partition_by=()):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame):
-    """A small table checkpointed to the shared folder; Spark deletes the files with the table."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+cut = kept  # a small table at a checkpoint, which Spark deletes with the table
 
 
 def slices(sizes, limit):
@@ -80,7 +91,8 @@ def text_blocks(batches, limit, column="text"):
 
     Yields (block, list of texts as bytes, null being empty)."""
     for batch in batches:
-        values = batch.column(column).cast(pa.large_binary()).to_pylist()
-        values = [v or b"" for v in values]
-        for start, stop in slices([len(v) for v in values], limit):
-            yield batch.slice(start, stop - start), values[start:stop]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for start, stop in slices(sizes, limit):
+            block = batch.slice(start, stop - start)
+            values = block.column(column).cast(pa.large_binary()).to_pylist()
+            yield block, [v or b"" for v in values]

@@ -23,7 +23,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import cut, fresh, lowered, numbered, stored, without_rows
+from playlens.llm.common import bitmap, cut, fresh, has_bit, lowered, numbered, stored
 
 #: Words as they stand; in lower case they hold no A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -63,25 +63,16 @@ def _head(column, i):
 def _bitmap(sets):
     """The heads of all windows of ``HEAD`` words or more, as an array of longs."""
     head = _head(F.split("w", " "), F.lit(0))
-    found = sets.filter(F.col("len") >= HEAD).select(head.alias("h")).groupBy(
-        F.expr("h div 64").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))"))).collect()  # MAP_BITS / 64 rows
-    known = dict(map(tuple, found))
-    longs = ",".join(str(known.get(i, 0)) for i in range(MAP_BITS // 64))
-    return F.split(F.lit(longs), ",").cast("array<bigint>")
+    return bitmap(sets.filter(F.col("len") >= HEAD).select(head), MAP_BITS)
 
 
-def _candidates(column, bitmap):
+def _candidates(column, heads):
     """The places of ``column`` whose first words may begin a benchmark window."""
     last = F.size(column) - HEAD
     places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(
         F.array().cast("array<int>"))
 
-    def marked(i):
-        h = _head(column, i)
-        return F.call_function("getbit", F.get(bitmap, F.call_function(
-            "shiftright", h, F.lit(6)).cast("int")), (h % 64).cast("int")) == 1
-    return F.filter(places, marked)
+    return F.filter(places, lambda i: has_bit(heads, _head(column, i)))
 
 
 def benchmark_windows(benchmark: DataFrame, window=WINDOW):
@@ -152,8 +143,16 @@ def contamination(docs, benchmark, window=WINDOW, one_in=ONE_IN, set_bytes=SET_B
 
 
 def remove_documents(docs, benchmark, **parameters):
-    """``docs`` without the contaminated ones, all columns kept."""
-    return without_rows(docs, contamination(docs, benchmark, **parameters).filter("contaminated"))
+    """``docs`` without the contaminated ones, all columns kept.
+
+    Only rows that the bitmap of contaminated ones has are shuffled."""
+    bad = contamination(docs, benchmark, **parameters).filter("contaminated")
+    rows, row = numbered(docs)
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    may_be_bad = has_bit(bitmap(bad.select(place("row")), MAP_BITS), place(row))
+    good = rows.filter(may_be_bad).join(
+        bad.select(F.col("row").alias(row)), row, "left_anti").select(*rows.columns)
+    return rows.filter(~may_be_bad).unionByName(good).drop(row)
 
 
 def remove_spans(docs, benchmark, **parameters):

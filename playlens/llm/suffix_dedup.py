@@ -222,10 +222,10 @@ def _cut_out(batches):
                            ("big", pa.bool_()), ("bytes", pa.binary())]))
 
 
-def _marked(spark, numbers):
-    """A column function: whether a row may be among ``numbers``, by the bitmap."""
-    place = F.pmod(F.xxhash64("row"), F.lit(MAP_BITS))
-    found = numbers.select(place.alias("h")).groupBy(F.expr("h div 64").alias("at")).agg(
+def _marked(spark, numbers, row="row"):
+    """A column: whether the number in column ``row`` may be among ``numbers``, by the bitmap."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    found = numbers.select(place("row").alias("h")).groupBy(F.expr("h div 64").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("bits")).toArrow()
     longs = np.zeros(MAP_BITS // 64, np.int64)
     longs[found.column("at").to_numpy()] = found.column("bits").to_numpy()
@@ -236,7 +236,7 @@ def _marked(spark, numbers):
         at = places.to_numpy()
         bits = sent.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
         return pd.Series(bits.astype(bool))
-    return marked(place)
+    return marked(place(row))
 
 
 def repeated(docs):
@@ -364,8 +364,11 @@ def _cut_texts(text: pd.Series, spans: pd.Series) -> pd.Series:
 
 def remove(docs):
     """``docs`` with the repeated strings cut out of ``text``, all columns kept."""
-    marked, row = numbered(docs)
-    cut = fresh(marked, "spans")
-    found = spans(docs).select(F.col("row").alias(row), F.col("spans").alias(cut))
-    return marked.join(found, row, "left").withColumn("text", F.when(
-        F.col(cut).isNull(), F.col("text")).otherwise(_cut_texts("text", cut))).drop(row, cut)
+    rows, row = numbered(docs)
+    cut = fresh(rows, "spans")
+    found = spans(docs)
+    marked = _marked(docs.sparkSession, found, row)
+    found = found.select(F.col("row").alias(row), F.col("spans").alias(cut))
+    changed = rows.filter(marked).join(found, row, "left").withColumn("text", F.when(
+        F.col(cut).isNull(), F.col("text")).otherwise(_cut_texts("text", cut)))
+    return rows.filter(~marked).drop(row).unionByName(changed.drop(row, cut))
