@@ -27,8 +27,8 @@ from playlens.llm.common import text_blocks, texts
 from playlens.llm.pieces import Lexicon, gathered
 
 RANKS = "byte_bpe_50k.tiktoken"
-BLOCK_BYTES = 8 << 20
-REMEMBERED = 400_000
+BLOCK_BYTES = 4 << 20
+REMEMBERED = 250_000
 
 
 def read_ranks(name=RANKS):
