@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching, and a unigram base score.
 
-The model is a trie of byte contexts of up to four bytes, pretrained on the training fold.
-Each training text gives its bytes and an end symbol; at every place the last four symbols
-(the start of a text is padded) count the symbol that follows. Those five-symbol counts are
+The model is a trie of byte contexts of up to five bytes, pretrained on the training fold.
+Each training text gives its bytes and an end symbol; at every place the last five symbols
+(the start of a text is padded) count the symbol that follows. Those six-symbol counts are
 summed by Spark over the whole fold; the counts of shorter contexts are their sums. A
 symbol's probability in a context of ``k`` bytes with total ``T`` and ``D`` distinct successors
 is its count over ``T + D``; otherwise the context escapes with ``D / (T + D)`` to the one a
@@ -13,7 +13,7 @@ context all symbols that it has not seen are equally likely. A text's score is t
 its bytes and the end symbol, in log10.
 
 Scoring looks the counts up in tables that are broadcast. The counts of three symbols are
-bounded by 256 ** 3 entries. Those of four and five are cut into blocks of about
+bounded by 256 ** 3 entries. Those of four to six are cut into blocks of about
 ``TRIE_ROWS`` rows by a hash of the last three bytes of their contexts; a trie beyond one
 block is scored in several passes over the texts, each adding up the places whose context
 falls in its block, so what is broadcast does not grow with the corpus.
@@ -41,10 +41,11 @@ from pyspark.sql import functions as F
 from playlens.llm.common import bucket, stored, text_blocks, texts
 
 FOLDS = 10
-ORDER = 4
+ORDER = 5
+LOWEST = 3  # symbols of the counts that are sent whole
 END = 0xFF  # a byte that UTF-8 never holds: the end of a text, and the padding before it
 ADDED = 0.1
-TRIE_ROWS = 2_000_000
+TRIE_ROWS = 1_500_000
 #: Bytes of frequent words, of 60 and their length each, that are looked up in place.
 HOT_BYTES = 16 << 20
 BLOCK_BYTES = 2 << 20
@@ -67,7 +68,7 @@ def _grams(values):
 
 
 def _count(batches):
-    for block, values in text_blocks(batches, BLOCK_BYTES * 8):
+    for block, values in text_blocks(batches, BLOCK_BYTES * 4):
         grams, counts = np.unique(_grams(values)[0], return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [pa.array(grams.astype(np.int64)), pa.array(counts.astype(np.int64))],
@@ -75,7 +76,7 @@ def _count(batches):
 
 
 def train(docs):
-    """(gram, n): the five-symbol counts of ``docs``, stored; the trie with all its orders."""
+    """(gram, n): the counts of ORDER + 1 symbols of ``docs``, stored; the trie with all its orders."""
     counts = texts(docs).select("text").mapInArrow(_count, "gram long, n long")
     return stored(counts.groupBy("gram").agg(F.sum("n").alias("n")), "ppm_trie")
 
@@ -109,8 +110,8 @@ def _find(keys, wanted):
 class Trie:
     """log10 probabilities of grams whose first bytes are in one block of the trie.
 
-    ``tables`` are (grams, counts) of five and four symbols, of the block, and of three
-    symbols, of the whole corpus, from which the levels below are summed."""
+    ``tables`` are (grams, counts) of ORDER + 1 symbols and fewer, of the block, and at last of
+    LOWEST symbols, of the whole corpus, from which the levels below are summed."""
 
     def __init__(self, tables):
         self.levels = [None] * (ORDER + 1)
@@ -211,13 +212,13 @@ def score(docs, trie, trie_rows=TRIE_ROWS):
         return trie.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * symbols) - 1)).alias("gram")
                             ).agg(F.sum("n").alias("n"))
 
-    lowest = _table(summed(ORDER - 1))
+    lowest = _table(summed(LOWEST))
     blocks = max(1, ceil(trie.count() / trie_rows))
     rows = texts(docs, F.monotonically_increasing_id().alias("row"))
 
     def scored(block):
-        sent = context.broadcast([_table(trie, block, blocks),
-                                  _table(summed(ORDER), block, blocks), lowest])
+        fewer = [_table(summed(n), block, blocks) for n in range(ORDER, LOWEST, -1)]
+        sent = context.broadcast([_table(trie, block, blocks), *fewer, lowest])
 
         def scorer(batches):
             model = None

@@ -67,21 +67,22 @@ def test_recall_over_blocks(spark, monkeypatch):
 
 def plain_scores(rows):
     train = [(t or "").encode() for d, t in rows if crc32(str(d if d is not None else "").encode()) % 10]
-    counts = [defaultdict(Counter) for _ in range(5)]
+    order = ppm.ORDER
+    counts = [defaultdict(Counter) for _ in range(order + 1)]
     words = Counter()
     for t in train:
-        s = [255] * 4 + list(t) + [255]
-        for i in range(4, len(s)):
-            for k in range(5):
+        s = [255] * order + list(t) + [255]
+        for i in range(order, len(s)):
+            for k in range(order + 1):
                 counts[k][tuple(s[i - k:i])][s[i]] += 1
         words.update([*t.lower().split(), b""])
     total = sum(words.values())
     for d, t in rows:
         t, score = (t or "").encode(), 0.0
-        s = [255] * 4 + list(t) + [255]
-        for i in range(4, len(s)):
+        s = [255] * order + list(t) + [255]
+        for i in range(order, len(s)):
             gone = set()
-            for k in range(4, -1, -1):
+            for k in range(order, -1, -1):
                 seen = {a: n for a, n in counts[k].get(tuple(s[i - k:i]), {}).items()
                         if a not in gone}
                 if not seen:
