@@ -16,6 +16,8 @@ equal ones go by text. Every row gives one row. Strings of special tokens in a t
 ordinary text. Other columns are ignored.
 """
 
+from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -31,12 +33,19 @@ from playlens.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
-FRAME = 16 * mixing_coder.LANES * mixing_coder.STEPS
-BLOCK_BYTES = 4 << 20
-REMEMBERED = 600_000
+FRAME = 8 * mixing_coder.LANES * mixing_coder.STEPS
+BLOCK_BYTES = 2 << 20
+REMEMBERED = 300_000
 _FRAMES = ("part int, frame int, doc_ids array<long>, sizes array<long>, payload binary")
 
 
+@lru_cache(1)
+def _lexicon(path):
+    """(lexicon, number of ids): kept by a Python worker from task to task."""
+    encoder, space = _piece_encoder(path)
+    return Lexicon(encoder, REMEMBERED), space
+
+
 def _piece_encoder(path):
     from tokenizers import Tokenizer
 
@@ -45,19 +54,18 @@ def _piece_encoder(path):
 
     def encode(pieces):
         ids, sizes = [], []
-        for start in range(0, len(pieces), 10_000):
-            for found in tokenizer.encode_batch_fast(
-                    pieces[start:start + 10_000], add_special_tokens=False):
-                ids.extend(found.ids)
-                sizes.append(len(found.ids))
-        return np.array(ids, np.int32), np.array(sizes, np.int64)
+        for start in range(0, len(pieces), 4000):
+            found = [x.ids for x in tokenizer.encode_batch_fast(
+                pieces[start:start + 4000], add_special_tokens=False)]
+            sizes += map(len, found)
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32))
+        return np.concatenate(ids), np.array(sizes, np.int64)
     return encode, tokenizer.get_vocab_size(with_added_tokens=True)
 
 
 def _framed(path):
     def framed(batches):
-        encoder, space = _piece_encoder(path)
-        lexicon = Lexicon(encoder, REMEMBERED)
+        lexicon, space = _lexicon(path)
         part, frame, doc_ids, ids, sizes, held = None, 0, [], [], [], 0
 
         def rows():
