@@ -1,5 +1,7 @@
 """What the operators of this folder share."""
 
+import json
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -27,14 +29,54 @@ def fresh(df, name):
     return name
 
 
+#: Plans whose every row is one row of a file.
+_OF_FILES = {"Project", "Filter", "SubqueryAlias"}
+#: Bits of a row's place in its file, below the number of the file.
+FILE_ROWS = 40
+
+
+def placed(docs):
+    """``docs`` if its rows are those of Parquet files, else a copy of it that is written once.
+
+    An operator that scans a table more than once starts here, so that all scans see one copy."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in _OF_FILES:
+        plan = plan.children().head()
+    of_files = plan.nodeName() == "LogicalRelation" and "parquet" in plan.relation().toString().lower()
+    return docs if of_files else stored(docs, "placed")
+
+
 def numbered(docs):
-    """``docs`` with a column of each row's place in the scan, and that column's name."""
-    name = fresh(docs, "row_in_scan")
-    return docs.withColumn(name, F.monotonically_increasing_id()), name
+    """``docs`` with a column of each row's place, and that column's name.
+
+    A place is the number of the file, by the order of their paths, and the row in that file. It
+    does not depend on how a scan is split, so places of one scan hold in another."""
+    docs = placed(docs)
+    spark, name = docs.sparkSession, fresh(docs, "row_in_scan")
+    path, number = fresh(docs, "path_of_file"), fresh(docs, "number_of_file")
+    jvm = spark._jvm
+    path_of = jvm.org.apache.hadoop.fs.Path
+    # Spelt as the scan does, which escapes less than the list of files.
+    paths = sorted(path_of(path_of(jvm.java.net.URI(p)).toString()).toUri().toString()
+                   for p in docs.inputFiles())
+    files = spark.range(1).select(F.posexplode(
+        F.from_json(F.lit(json.dumps(paths)), "array<string>")).alias(number, path))
+    found = docs.metadataColumn("_metadata")
+    rows = docs.select("*", found["file_path"].alias(path), found["row_index"].alias(name))
+    known = F.coalesce(F.col(number), F.raise_error(F.concat(F.lit("no such file: "), path)))
+    return rows.join(F.broadcast(files), path, "left").withColumn(name, F.call_function(
+        "shiftleft", known.cast("long"), F.lit(FILE_ROWS)).bitwiseOR(F.col(name))).select(
+        *[f"`{c.replace('`', '``')}`" for c in docs.columns], name), name
+
+
+def placed_texts(docs, *more):
+    """``texts`` with each row's place in ``row``."""
+    marked, name = numbered(docs)
+    return texts(marked, F.col(name).alias("row"), *more)
 
 
 def without_rows(docs, rows):
-    """``docs`` without the rows whose places in the scan are in ``rows`` (row)."""
+    """``docs`` without the rows whose places are in ``rows`` (row)."""
     marked, name = numbered(docs)
     return marked.join(rows.select(F.col("row").alias(name)), name, "left_anti").drop(name)
 

@@ -12,7 +12,7 @@ passes over the documents, never a larger broadcast. Nothing of the documents is
 but one row each and their hits.
 
 Defined results: a null or empty text has no words, so no hits. Rows are told apart by their
-place in the scan, so repeated and null ``doc_id`` give a result per row. Items with equal
+place in the files, so repeated and null ``doc_id`` give a result per row. Items with equal
 ``item_id`` are one item; an item without an id hits but is not listed. Other columns are
 ignored.
 """
@@ -23,7 +23,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import bitmap, cut, fresh, has_bit, lowered, numbered, stored
+from playlens.llm.common import bitmap, cut, fresh, has_bit, lowered, numbered, placed, placed_texts, stored
 
 #: Words as they stand; in lower case they hold no A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -94,9 +94,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window=WINDOW, set_bytes=SET_BYT
     sets, lists = benchmark_windows(benchmark, window)
     size = sets.agg(F.sum(F.octet_length("w") + 64)).first()[0] or 0
     lengths = sorted(r[0] for r in sets.select("len").distinct().collect())  # 13 values at most
-    tokens = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
-        words(F.col("text").cast("string")).alias("ws"))
+    tokens = placed_texts(docs).select("row", "doc_id", words(F.col("text")).alias("ws"))
     tokens = tokens.withColumn("places", _candidates(F.col("ws"), _bitmap(sets)))
     # One row with pos -1 carries the word count of a document past the join.
     own = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("w")))
@@ -146,6 +144,7 @@ def remove_documents(docs, benchmark, **parameters):
     """``docs`` without the contaminated ones, all columns kept.
 
     Only rows that the bitmap of contaminated ones has are shuffled."""
+    docs = placed(docs)
     bad = contamination(docs, benchmark, **parameters).filter("contaminated")
     rows, row = numbered(docs)
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
@@ -157,6 +156,7 @@ def remove_documents(docs, benchmark, **parameters):
 
 def remove_spans(docs, benchmark, **parameters):
     """``docs`` with the hit words, and what separates them from the next word, cut out."""
+    docs = placed(docs)
     marked, row = numbered(docs)
     spans = fresh(marked, "spans")
     hit = scan(docs, benchmark, **parameters).filter(F.size("spans") > 0).select(

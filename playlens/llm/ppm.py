@@ -24,7 +24,7 @@ broadcast and looked up where the texts are read; each text's other words are jo
 counts by a shuffle, in which no word can be hot, and summed up per row.
 
 Defined results: a null or empty text has the end symbol only. Rows are told apart by
-their place in the scan, so repeated and null ``doc_id`` give a row each; a null id counts as
+their place in the files, so repeated and null ``doc_id`` give a row each; a null id counts as
 empty text in the fold. With an empty training fold all bytes are equally likely and the
 base score is that of one word unseen. Other columns are ignored.
 """
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import bucket, stored, text_blocks, texts
+from playlens.llm.common import bucket, placed, placed_texts, stored, text_blocks, texts
 
 FOLDS = 10
 ORDER = 4
@@ -214,7 +214,7 @@ def score(docs, trie, trie_rows=TRIE_ROWS):
 
     lowest = _table(summed(LOWEST))
     blocks = max(1, ceil(trie.count() / trie_rows))
-    rows = texts(docs, F.monotonically_increasing_id().alias("row"))
+    rows = placed_texts(docs)
 
     def scored(block):
         fewer = [_table(summed(n), block, blocks) for n in range(ORDER, LOWEST, -1)]
@@ -301,7 +301,7 @@ def base(docs, counts, hot_bytes=HOT_BYTES):
                  pa.array(logs, pa.float64()), pa.array(rare, pa.list_(pa.binary()))],
                 names=["row", "n_tokens", "n_known", "logs", "rare"])
 
-    rows = stored(texts(docs, F.monotonically_increasing_id().alias("row")).mapInArrow(
+    rows = stored(placed_texts(docs).mapInArrow(
         read, "row long, n_tokens long, n_known long, logs double, rare array<binary>"),
         "ppm_base")
     unseen = log10(ADDED)
@@ -320,6 +320,7 @@ def scores(docs):
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Both models learn from the rows outside the held-out fold."""
+    docs = placed(docs)
     fold = texts(docs).filter(bucket(F.col("doc_id"), FOLDS) != 0)
     model = score(docs, train(fold))
     base_scores = base(docs, word_counts(fold))

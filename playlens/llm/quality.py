@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from playlens.llm.common import stored, text_blocks, texts, without_rows
+from playlens.llm.common import placed, placed_texts, stored, text_blocks, without_rows
 
 LABELLED = 20_000
 BLOCK_BYTES = 8 << 20
@@ -80,8 +80,7 @@ def _rows(batches):
 
 def described(docs, host, path):
     """row, doc_id, host, path and the features ``x`` of each row, stored."""
-    rows = texts(docs, F.monotonically_increasing_id().alias("row"),
-                 host.cast("string").alias("host"), path.cast("string").alias("path"))
+    rows = placed_texts(docs, host.cast("string").alias("host"), path.cast("string").alias("path"))
     return stored(rows.mapInArrow(
         _rows, "row long, doc_id long, host string, path string, x array<double>"), "quality")
 
@@ -182,4 +181,5 @@ def classify(docs, labels, host=None, path=None):
 
 def keep_good(docs, labels, host=None, path=None):
     """``docs`` without the rejected rows, all columns kept."""
+    docs = placed(docs)
     return without_rows(docs, classify(docs, labels, host, path).filter(~F.col("keep")))

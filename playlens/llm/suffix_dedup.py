@@ -25,7 +25,7 @@ safe side, tells which. Long texts are cut into overlapping segments, so memory
 
 Identifiers are 128-bit digests or the bytes themselves; the q-gram hash only groups candidates.
 
-Defined results: a null text has no bytes. Rows are told apart by their place in the scan,
+Defined results: a null text has no bytes. Rows are told apart by their place in the files,
 so repeated and null ``doc_id`` give a row each. Other columns are kept by ``remove`` and
 ignored otherwise.
 """
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
-from playlens.llm.common import fresh, numbered, slices, stored, text_blocks, texts
+from playlens.llm.common import fresh, numbered, placed, placed_texts, slices, stored, text_blocks
 
 LENGTH = 400
 GRAM = 128  # a power of two
@@ -241,8 +241,8 @@ def _marked(spark, numbers, row="row"):
 
 def repeated(docs):
     """(row, at, n): runs of starts of repeated strings; every such start is in one of them."""
-    spark = docs.sparkSession
-    found = stored(texts(docs, F.monotonically_increasing_id().alias("row")).select(
+    spark, docs = docs.sparkSession, placed(docs)
+    found = stored(placed_texts(docs).select(
         "row", "text").mapInArrow(
             _anchored, "row long, at long, n int, ahead int, gram long, around binary"),
         "suffix_anchors")
@@ -265,7 +265,7 @@ def repeated(docs):
     wanted = stored(members.groupBy("row").agg(F.collect_list("w").alias("wanted")),
                     "suffix_wanted")
     marked = _marked(spark, wanted)
-    around = texts(docs, F.monotonically_increasing_id().alias("row")).select("row", "text").filter(
+    around = placed_texts(docs).select("row", "text").filter(
         marked).join(wanted, "row").mapInArrow(
         _cut_out, "gram long, row long, at long, n int, ahead int, open boolean, big boolean, "
                   "bytes binary")
@@ -330,10 +330,11 @@ def _kept_digests(batches):
 
 def digests(docs):
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay, per row."""
+    docs = placed(docs)
     found = spans(docs)
     marked = _marked(docs.sparkSession, found)
     text = F.coalesce("text", F.lit(""))
-    rows = texts(docs, F.monotonically_increasing_id().alias("row")).select(
+    rows = placed_texts(docs).select(
         "row", "doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
         F.sha2(text.cast("binary"), 256).alias("kept_sha256"), F.when(marked, text).alias("text"))
     return rows.join(found, "row", "left").mapInArrow(
@@ -364,6 +365,7 @@ def _cut_texts(text: pd.Series, spans: pd.Series) -> pd.Series:
 
 def remove(docs):
     """``docs`` with the repeated strings cut out of ``text``, all columns kept."""
+    docs = placed(docs)
     rows, row = numbered(docs)
     cut = fresh(rows, "spans")
     found = spans(docs)

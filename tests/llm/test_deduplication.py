@@ -9,6 +9,7 @@ import pytest
 import xxhash
 
 from playlens.llm import decontaminate, simhash, suffix_dedup
+from playlens.llm.common import numbered, placed, without_rows
 from playlens.llm.components import components
 from tests.conftest import values
 
@@ -163,6 +164,37 @@ def test_removal_keeps_whole_characters(documents):
     assert "é" not in texts[0] and texts[0].startswith("a")
 
 
+# ---- places of rows -------------------------------------------------------------------
+
+def test_places_do_not_depend_on_the_split(spark, base, documents):
+    path = f"{base}/a b%20é=1"
+    documents(*[(i, prose(i, 60)) for i in range(400)]).repartition(5).write.option(
+        "parquet.block.size", 4096).parquet(path)
+    docs = spark.read.parquet(path)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes",
+                                          "spark.sql.files.openCostInBytes")}
+    try:
+        marked, row = numbered(docs.filter("doc_id % 2 = 0"))
+        even = spark.createDataFrame(marked.select(row).collect(), "row long")
+        before = suffix_dedup.spans(docs)
+        for k in was:
+            spark.conf.set(k, "7k")
+        assert {r.doc_id for r in without_rows(docs, even).collect()} == set(range(1, 400, 2))
+        assert values(suffix_dedup.spans(docs)) == values(before)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_that_are_not_of_files_are_written_once(spark, documents):
+    docs = documents("a", "b")
+    copy = placed(docs)
+    assert copy is not docs and placed(copy) is copy
+    twice = placed(copy.unionAll(copy))
+    marked, row = numbered(twice)
+    assert marked.select(row).distinct().count() == 4
+
+
 # ---- decontamination --------------------------------------------------------------
 
 def plain_words(text):
