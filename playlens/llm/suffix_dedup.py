@@ -23,6 +23,10 @@ the digests of all their strings. Texts are read three times and only those with
 may be repeated are shuffled: a bitmap of ``MAP_BITS`` bits over row numbers, which errs on the
 safe side, tells which. Long texts are cut into overlapping segments, so memory is bounded.
 
+Words instead of bytes: a text can be taken as the hashes of its words, eight bytes each, of
+which only strings that start at a word count (``unit`` is 8). A string of ``8 * WORDS`` bytes is
+then a passage of ``WORDS`` words, whatever their length and the white space between them.
+
 Identifiers are 128-bit digests or the bytes themselves; the q-gram hash only groups candidates.
 
 Defined results: a null text has no bytes. Rows are told apart by their place in the files,
@@ -31,16 +35,20 @@ ignored otherwise.
 """
 
 import hashlib
+import re
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 from playlens.llm.common import fresh, numbered, placed, placed_texts, slices, stored, text_blocks
 
 LENGTH = 400
+#: Words of the shortest repeated passage, and bytes of a word's hash.
+WORDS, WORD = 51, 8
 GRAM = 128  # a power of two
 BLOCK_BYTES, SEGMENT = 4 << 20, 2 << 20
 GROUP = 4096
@@ -79,45 +87,51 @@ def _smallest(keys, width):
     return np.minimum(keys[:len(keys) - more], keys[more:]) if more else keys
 
 
-def runs(segments):
+def coded(text, unit):
+    """``text`` (bytes), or the hashes of its words one after the other if ``unit`` is WORD."""
+    return text if unit == 1 else b"".join(map(xxhash.xxh64_digest, text.split()))
+
+
+def runs(segments, length=LENGTH):
     """(segment, first start, starts, start to anchor, gram name, digest) per run of starts.
 
     ``segments`` are bytes; starts are places of strings within their segment."""
     sizes = np.array([len(s) for s in segments])
     whole = b"".join(segments)
-    if len(whole) < LENGTH:
+    if len(whole) < length:
         return []
     names = _gram_names(whole)
     bits = np.uint64(len(whole).bit_length())
     keys = names >> bits << bits | np.arange(len(names), dtype=np.uint64)
-    anchors = _smallest(keys, LENGTH - GRAM + 1) & ((np.uint64(1) << bits) - np.uint64(1))
+    anchors = _smallest(keys, length - GRAM + 1) & ((np.uint64(1) << bits) - np.uint64(1))
     ends = np.cumsum(sizes)
     begins = ends - sizes
     valid = np.zeros(len(whole) + 1, np.int8)
-    long = sizes >= LENGTH
+    long = sizes >= length
     valid[begins[long]] += 1
-    valid[ends[long] - LENGTH + 1] -= 1
+    valid[ends[long] - length + 1] -= 1
     valid = np.cumsum(valid[:len(anchors)]) > 0
     changes = np.r_[True, (anchors[1:] != anchors[:-1]) | (valid[1:] != valid[:-1])]
-    # A segment of LENGTH bytes may follow another without a gap between their starts.
+    # A segment of ``length`` bytes may follow another without a gap between their starts.
     changes[begins[long]] = True
     firsts = np.flatnonzero(changes)
     lasts = np.r_[firsts[1:], len(anchors)] - 1
     firsts, lasts = firsts[valid[firsts]], lasts[valid[firsts]]
     at = anchors[firsts].astype(np.int64)
     digests = [hashlib.blake2b(whole[a:b], digest_size=16).digest()
-               for a, b in zip(firsts.tolist(), (lasts + LENGTH).tolist())]
+               for a, b in zip(firsts.tolist(), (lasts + length).tolist())]
     owner = np.searchsorted(ends, firsts, side="right")
     return owner, firsts - begins[owner], lasts - firsts + 1, at - firsts, names[at], digests
 
 
-def _anchored(batches):
+def _anchored(batches, length=LENGTH, unit=1):
     for block, values in text_blocks(batches, BLOCK_BYTES):
+        values = [coded(v, unit) for v in values]
         numbers = block.column("row").to_numpy()
-        parts = [(i, s, v[s:s + SEGMENT + LENGTH - 1]) for i, v in enumerate(values)
-                 for s in range(0, max(0, len(v) - LENGTH + 1), SEGMENT)]
+        parts = [(i, s, v[s:s + SEGMENT + length - 1]) for i, v in enumerate(values)
+                 for s in range(0, max(0, len(v) - length + 1), SEGMENT)]
         for a, b in slices([len(p[2]) for p in parts], BLOCK_BYTES):
-            found = runs([p[2] for p in parts[a:b]])
+            found = runs([p[2] for p in parts[a:b]], length)
             if not found:
                 continue
             owner, first, n, ahead, names, digests = found
@@ -130,7 +144,7 @@ def _anchored(batches):
                 names=["row", "at", "n", "ahead", "gram", "around"])
 
 
-def refine(members, low, high, decided):
+def refine(members, low, high, decided, length=LENGTH):
     """Adds (member, low, high) to ``decided`` for ranges of distances met twice.
 
     ``members`` are (number, bytes, anchor in them, least and greatest distance, wanted).
@@ -141,7 +155,7 @@ def refine(members, low, high, decided):
     for m in members:
         _, around, anchor, least, most, _ = m
         if least <= low and high <= most:
-            groups.setdefault(around[anchor - high:anchor - low + LENGTH], []).append(m)
+            groups.setdefault(around[anchor - high:anchor - low + length], []).append(m)
         elif least <= high and low <= most:
             part.append(m)
     open_ = list(part)
@@ -157,21 +171,21 @@ def refine(members, low, high, decided):
         return
     shared = {}
     for m in open_ + witnesses:
-        shared.setdefault(m[1][m[2] - low:m[2] - high + LENGTH], []).append(m)
+        shared.setdefault(m[1][m[2] - low:m[2] - high + length], []).append(m)
     middle = (low + high) // 2
     for group in shared.values():
         if len(group) > 1 and any(m[5] for m in group):
-            refine(group, low, middle, decided)
-            refine(group, middle + 1, high, decided)
+            refine(group, low, middle, decided, length)
+            refine(group, middle + 1, high, decided, length)
 
 
-def _refined(batches):
+def _refined(batches, length=LENGTH):
     """Runs sorted by gram to (row, at, n) of the starts in them that are repeated."""
     def solved(rows):
         members = [(i, x["bytes"], x["ahead"], x["ahead"] - x["n"] + 1, x["ahead"], x["open"])
                    for i, x in enumerate(rows)]
         decided = []
-        refine(members, 0, LENGTH - GRAM, decided)
+        refine(members, 0, length - GRAM, decided, length)
         for i, low, high in decided:
             yield rows[i]["row"], rows[i]["at"] + rows[i]["ahead"] - high, high - low + 1
 
@@ -194,13 +208,13 @@ def _refined(batches):
     yield batch_of(list(solved(rows)))
 
 
-def _strings(batches):
+def _strings(batches, length=LENGTH):
     """Runs to (digest, row, at, open) of each of their strings."""
     for batch in batches:
         for x in batch.to_pylist():
             every = range(x["n"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([hashlib.blake2b(x["bytes"][i:i + LENGTH], digest_size=16).digest()
+                [pa.array([hashlib.blake2b(x["bytes"][i:i + length], digest_size=16).digest()
                            for i in every], pa.binary()),
                  pa.array([x["row"]] * x["n"], pa.int64()),
                  pa.array([x["at"] + i for i in every], pa.int64()),
@@ -208,14 +222,14 @@ def _strings(batches):
                 names=["digest", "row", "at", "open"])
 
 
-def _cut_out(batches):
+def _cut_out(batches, length=LENGTH, unit=1):
     """(text, wanted runs) to a row per run with the bytes that its strings cover."""
     for batch in batches:
         for x in batch.to_pylist():
-            text = (x["text"] or "").encode()
+            text = coded((x["text"] or "").encode(), unit)
             wanted = x["wanted"]
             yield pa.RecordBatch.from_pylist(
-                [{**w, "row": x["row"], "bytes": text[w["at"]:w["at"] + w["n"] + LENGTH - 1]}
+                [{**w, "row": x["row"], "bytes": text[w["at"]:w["at"] + w["n"] + length - 1]}
                  for w in wanted],
                 pa.schema([("gram", pa.int64()), ("row", pa.int64()), ("at", pa.int64()),
                            ("n", pa.int32()), ("ahead", pa.int32()), ("open", pa.bool_()),
@@ -239,12 +253,12 @@ def _marked(spark, numbers, row="row"):
     return marked(place(row))
 
 
-def repeated(docs):
+def repeated(docs, length=LENGTH, unit=1):
     """(row, at, n): runs of starts of repeated strings; every such start is in one of them."""
     spark, docs = docs.sparkSession, placed(docs)
     found = stored(placed_texts(docs).select(
         "row", "text").mapInArrow(
-            _anchored, "row long, at long, n int, ahead int, gram long, around binary"),
+            lambda batches: _anchored(batches, length, unit), "row long, at long, n int, ahead int, gram long, around binary"),
         "suffix_anchors")
     shared = found.groupBy("gram").count().filter("count > 1").select("gram")
     kept = stored(found.join(shared, "gram"), "suffix_buckets")
@@ -267,43 +281,47 @@ def repeated(docs):
     marked = _marked(spark, wanted)
     around = placed_texts(docs).select("row", "text").filter(
         marked).join(wanted, "row").mapInArrow(
-        _cut_out, "gram long, row long, at long, n int, ahead int, open boolean, big boolean, "
+        lambda batches: _cut_out(batches, length, unit), "gram long, row long, at long, n int, ahead int, open boolean, big boolean, "
                   "bytes binary")
     around = stored(around, "suffix_around", ["big"])
     small = around.filter("NOT big").repartition("gram").sortWithinPartitions(
-        "gram", "row", "at").mapInArrow(_refined, "row long, at long, n int")
+        "gram", "row", "at").mapInArrow(
+        lambda batches: _refined(batches, length), "row long, at long, n int")
     strings = around.filter("big").mapInArrow(
-        _strings, "digest binary, row long, at long, open boolean")
+        lambda batches: _strings(batches, length), "digest binary, row long, at long, open boolean")
     twice = strings.groupBy("digest").count().filter("count > 1").select("digest")
     large = strings.filter("open").join(twice, "digest").select(
         "row", "at", F.lit(1).alias("n"))
     return whole.unionAll(small).unionAll(large)
 
 
-def _merged(batches):
-    """Runs of starts per row to the byte spans that their strings cover."""
+def _merged(batches, length=LENGTH, unit=1):
+    """Runs of starts per row to the spans, in units, that their strings cover."""
     for batch in batches:
         out = []
         for found in batch.column("found").to_pylist():
             at = np.array([x["at"] for x in found], np.int64)
-            stops = at + np.array([x["n"] for x in found], np.int64) + LENGTH - 1
+            lasts = (at + np.array([x["n"] for x in found], np.int64) - 1) // unit
+            at = -(-at // unit)
+            at, lasts = at[at <= lasts], lasts[at <= lasts]
+            stops = lasts + length // unit
             order = np.argsort(at)
             at, stops = at[order], np.maximum.accumulate(stops[order])
-            first = np.r_[True, at[1:] > stops[:-1]]
-            last = np.r_[first[1:], True]
+            first = np.r_[True, at[1:] > stops[:-1]][:len(at)]
+            last = np.r_[first[1:], True][:len(at)]
             out.append([{"start": a, "stop": b}
                         for a, b in zip(at[first].tolist(), stops[last].tolist())])
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.list_(pa.struct(
             [("start", pa.int64()), ("stop", pa.int64())])))], names=["row", "spans"])
 
 
-def spans(docs):
-    """(row, spans): the byte spans (start, stop) to remove of each row that has any, stored.
+def spans(docs, length=LENGTH, unit=1):
+    """(row, spans): the spans (start, stop) to remove of each row that may have any, stored.
 
-    They are in order, disjoint, and do not touch."""
-    found = repeated(docs).groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("found"))
+    They are of bytes, or of words if ``unit`` is WORD; in order, disjoint, and do not touch."""
+    found = repeated(docs, length, unit).groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("found"))
     return stored(found.mapInArrow(
-        _merged, "row long, spans array<struct<start:long,stop:long>>"), "suffix_spans")
+        lambda batches: _merged(batches, length, unit), "row long, spans array<struct<start:long,stop:long>>"), "suffix_spans")
 
 
 def _kept_digests(batches):
@@ -342,17 +360,26 @@ def digests(docs):
                        "kept_sha256 string")
 
 
+def _of_words(raw, spans):
+    """Byte spans of ``raw`` from spans of words: from the first byte of a word to the last."""
+    found = [m.span() for m in re.finditer(rb"[^ \t-\r]+", raw)]
+    return [(found[x["start"]][0], found[x["stop"] - 1][1]) for x in spans]
+
+
 @F.pandas_udf(StringType())
-def _cut_texts(text: pd.Series, spans: pd.Series) -> pd.Series:
-    """Texts without their spans; a character that a span holds in part stays."""
+def _cut_texts(text: pd.Series, spans: pd.Series, words: pd.Series) -> pd.Series:
+    """Texts without their spans of bytes and words; a character held in part stays."""
     out = []
-    for value, cut in zip(text, spans):
-        if cut is None:
+    for value, cut, more in zip(text, spans, words):
+        if cut is None and more is None:
             out.append(value)
             continue
         raw, at, kept = value.encode(), 0, []
-        for x in cut:
-            start, stop = x["start"], x["stop"]
+        both = [(x["start"], x["stop"]) for x in (() if cut is None else cut)]
+        for start, stop in sorted(both + ([] if more is None else _of_words(raw, more))):
+            if stop <= at:
+                continue
+            start = max(start, at)
             while start < stop and raw[start] & 0xC0 == 0x80:
                 start += 1
             while stop > start and stop < len(raw) and raw[stop] & 0xC0 == 0x80:
@@ -363,14 +390,20 @@ def _cut_texts(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def remove(docs):
-    """``docs`` with the repeated strings cut out of ``text``, all columns kept."""
+def remove(docs, words=None):
+    """``docs`` with the repeated strings cut out of ``text``, all columns kept.
+
+    With ``words``, repeated passages of so many words are cut out as well."""
     docs = placed(docs)
     rows, row = numbered(docs)
-    cut = fresh(rows, "spans")
-    found = spans(docs)
+    cut, more = fresh(rows, "spans"), fresh(rows, "spans_of_words")
+    found = spans(docs).withColumn("more", F.lit(None).cast("array<struct<start:long,stop:long>>"))
+    if words:
+        of_words = spans(docs, words * WORD, WORD).withColumnRenamed("spans", "more")
+        found = stored(found.drop("more").join(of_words, "row", "full"), "suffix_both")
     marked = _marked(docs.sparkSession, found, row)
-    found = found.select(F.col("row").alias(row), F.col("spans").alias(cut))
+    found = found.select(F.col("row").alias(row), F.col("spans").alias(cut), F.col("more").alias(more))
     changed = rows.filter(marked).join(found, row, "left").withColumn("text", F.when(
-        F.col(cut).isNull(), F.col("text")).otherwise(_cut_texts("text", cut)))
-    return rows.filter(~marked).drop(row).unionByName(changed.drop(row, cut))
+        F.col(cut).isNull() & F.col(more).isNull(), F.col("text")).otherwise(
+            _cut_texts("text", cut, more)))
+    return rows.filter(~marked).drop(row).unionByName(changed.drop(row, cut, more))

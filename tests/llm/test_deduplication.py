@@ -164,6 +164,32 @@ def test_removal_keeps_whole_characters(documents):
     assert "é" not in texts[0] and texts[0].startswith("a")
 
 
+def plain_passages(texts, words):
+    """Texts without the words under a passage of ``words`` words that is met again."""
+    texts = [(t or "").split() for t in texts]
+    seen = Counter(tuple(t[p:p + words]) for t in texts for p in range(len(t) - words + 1))
+    for t in texts:
+        hit = {p + i for p in range(len(t) - words + 1) if seen[tuple(t[p:p + words])] > 1
+               for i in range(words)}
+        yield [w for p, w in enumerate(t) if p not in hit]
+
+
+def test_passages_of_51_short_words(documents):
+    pick = random.Random(3)
+    short = [pick.choice("abcdefgh") for _ in range(130)]
+    first, second, third = short[:51], short[51:101], short[79:130]
+    texts = [" ".join(prose(1, 9).split() + first + prose(2, 70).split() + second), None, "",
+             prose(3, 20) + " \n" + "\t ".join(first), prose(4, 60) + " " + " ".join(second),
+             " ".join(third[:51]) + " " + prose(5, 8), prose(6, 8) + " " + " ".join(third[-51:]),
+             "é" * 900 + " x", "é" * 900]
+    assert len(" ".join(first)) < 128
+    got = {r.doc_id: r.text for r in suffix_dedup.remove(documents(*texts), 51).collect()}
+    for i, want in enumerate(plain_passages(texts[:7], 51)):
+        assert (got[i] or "").split() == want
+    assert got[1] is None and got[7] == " x" and got[8] == ""
+    assert " ".join(second) in got[0] and " ".join(first) not in got[0]
+
+
 # ---- places of rows -------------------------------------------------------------------
 
 def test_places_do_not_depend_on_the_split(spark, base, documents):
