@@ -4,8 +4,8 @@ and returns digest columns made from an operator's own output."""
 from pyspark.sql import functions as F
 
 from playlens.llm import (
-    chat, decontaminate, merge_replay, neighbours, ppm, quality, simhash, suffix_dedup,
-    token_files, toxicity)
+    chat, decontaminate, filter_audit, hard_negatives, merge_replay, neighbours, ppm, quality,
+    simhash, suffix_dedup, token_files, toxicity, warc)
 from playlens.llm.common import table
 
 QUERIES = {}
@@ -80,3 +80,20 @@ def op1_collision_neighbours(spark, sf_dir):
 @query
 def op8_mixing_token_files(spark, sf_dir):
     return token_files.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_rns_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_warc_normaliser(spark, sf_dir):
+    return warc.digests(table(spark, sf_dir, "pages"))

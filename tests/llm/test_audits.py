@@ -1,0 +1,341 @@
+"""Filter audit, hard negatives and WARC archives against brute force and round trips."""
+
+import base64
+import gzip
+import hashlib
+import io
+import json
+import math
+import random
+import re
+from itertools import permutations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from playlens.llm import filter_audit, hard_negatives, warc
+from playlens.session import work_dir
+from tests.conftest import values
+
+from .conftest import prose
+
+LABELS = "doc_id long, quality int, toxic int, part string, n string"
+
+
+# ---- filter audit -------------------------------------------------------------------
+
+def plain_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return [len(words), len(set(words)), len(re.findall("[A-Z]", text)), len(text),
+            len(re.findall(r"[#$%&*|]", text))]
+
+
+def plain_fails(text):
+    words, distinct, capitals, points, symbols = plain_counts(text)
+    return {f for f, bad in zip("ABCD", (words < 200, 100 * distinct < 50 * words,
+                                         100 * capitals > 2 * points, symbols > 0)) if bad}
+
+
+def plain_audit(docs, labels):
+    """By running every order over the rows."""
+    marks = {}
+    for doc_id, quality, toxic in labels:
+        if doc_id is not None:
+            good, bad = marks.get(doc_id, (False, False))
+            marks[doc_id] = good or quality == 1, bad or toxic == 1
+    rows = []
+    for doc_id, text, source in docs:
+        failed = plain_fails(text or "")
+        if doc_id is not None and any(
+                d is not None and d < doc_id and (t or "") == (text or "") for d, t, _ in docs):
+            failed.add("E")
+        rows.append((source or "", failed, *marks.get(doc_id, (False, False))))
+    shapley, out = {}, []
+    for part in {r[0] for r in rows}:
+        for order in permutations("ABCDE"):
+            left = [r for r in rows if r[0] == part]
+            gone = []
+            for step, letter in enumerate(order, 1):
+                hit = [r for r in left if letter in r[1]]
+                out.append([part, "".join(order), step, len(left) - len(hit), len(hit),
+                            sum(letter in r[1] for r in gone),
+                            sum(r[0] == part and r[1] == {letter} for r in rows),
+                            sum(r[2] for r in hit), sum(r[3] for r in hit), letter])
+                shapley[part, letter] = shapley.get((part, letter), 0) + len(hit)
+                left = [r for r in left if letter not in r[1]]
+                gone += hit
+    return sorted((tuple(r[:-1]) + (shapley[r[0], r[-1]],) for r in out), key=repr)
+
+
+def audited(spark, docs, labels):
+    frame = spark.createDataFrame(
+        [(*d, "x", "x", 1) for d in docs],
+        "doc_id long, text string, source string, part string, fails string, n int")
+    marks = spark.createDataFrame([(*x, "x", "x") for x in labels], LABELS)
+    return filter_audit.audit(frame, marks)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_audit_equals_running_every_order(spark, seed):
+    pick = random.Random(seed)
+    long, dull = prose(1, 300), "word " * 400
+    texts = ["", None, "short", long, dull, long.upper(), long + " #", dull + "$ A",
+             "TOO MANY & CAPITALS", "é" * 50 + " ñ" * 210, prose(2, 200), " x  y"]
+    docs = [(pick.choice([None, *range(60)]), pick.choice(texts), pick.choice(["a", "b", "", None]))
+            for _ in range(120)]
+    labels = [(pick.choice([None, *range(60)]), pick.choice([0, 1, None]),
+               pick.choice([0, 1, None])) for _ in range(80)]
+    assert values(audited(spark, docs, labels)) == plain_audit(docs, labels)
+
+
+def test_audit_without_rows_or_labels(spark):
+    assert audited(spark, [], [(1, 1, 1)]).count() == 0
+    docs = [(1, "a b", "s"), (1, "a b", "s"), (2, "a b", "s")]
+    assert values(audited(spark, docs, [])) == plain_audit(docs, [])
+
+
+def test_a_text_that_nearly_all_rows_share(spark):
+    docs = [(i, "the same #" if i % 4 else f"other {i}", f"s{i % 2}") for i in range(400)]
+    labels = [(i, i % 2, i % 3 == 0) for i in range(0, 400, 5)]
+    labels = [(i, q, int(t)) for i, q, t in labels]
+    assert values(audited(spark, docs, labels)) == plain_audit(docs, labels)
+
+
+@pytest.mark.parametrize("limit", [1, 40, 5000, 1 << 20])
+def test_counts_of_texts_and_of_pieces(limit):
+    texts = ["", " ", "a", " a ", "a b a", "É é A$ #x", "x" * 9000, prose(3, 900),
+             " \n".join([prose(4, 40)] * 30), "\x1f\x85 \x0bw\x0cw", "aaaaaaaa aaaaaaaab aaaaaaaa"]
+    want = [plain_counts(t) for t in texts]
+    counts, _ = filter_audit.scan([t.encode() for t in texts])
+    assert counts.tolist() == want
+    assert [filter_audit.scan_long(t.encode(), limit).tolist() for t in texts] == want
+
+
+def test_the_table_trusts_bytes_only(monkeypatch):
+    """With keys that say nothing, spans are still told apart by their bytes."""
+    monkeypatch.setattr(filter_audit, "_SPREAD", np.uint64(0))
+    texts = [prose(5, 60) + " " + prose(5, 60), "aa ab ba aa", "aa"]
+    counts, _ = filter_audit.scan([t.encode() for t in texts])
+    assert counts.tolist() == [plain_counts(t) for t in texts]
+
+
+# ---- hard negatives -------------------------------------------------------------------
+
+def plain_negatives(rows, anchors, positives=5, negatives=10):
+    def usable(x):
+        return x is not None and all(v is not None and math.isfinite(v) for v in x)
+
+    rows = [(i, label, [math.floor(256 * v) for v in x])
+            for i, label, x in rows if label is not None and usable(x)]
+
+    def score(a, b):
+        return sum(x * y for x, y in zip(a, b))
+
+    def first(found, k):
+        return sorted(found, key=lambda r: (-r[1], r[0] is None, r[0]))[:k]
+
+    out = []
+    for i, label, x in rows:
+        if i is None or not anchors(i):
+            continue
+        others = [(j, score(x, y), m) for j, m, y in rows if j != i]
+        for p, ps, _ in first([o for o in others if o[2] == label], positives):
+            inside = [o for o in others if o[2] != label and 30 * ps <= 100 * o[1] <= 90 * ps]
+            for rank, (n, ns, _) in enumerate(first(inside, negatives), 1):
+                out.append((i, p, rank, n, ps, ns))
+    return sorted(out, key=repr)
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, x string, anchor string, cell string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, x, label, "x", "x", "x") for i, label, x in rows], VECTORS)
+
+
+def floats(rows):
+    """The rows as single-precision components give them."""
+    return [(i, label, x and [None if v is None else float(np.float32(v)) for v in x])
+            for i, label, x in rows]
+
+
+@pytest.mark.parametrize("scale,dim", [(0.2, 64), (3.0, 7), (400.0, 130)])
+def test_negatives_equal_brute_force(spark, scale, dim):
+    pick = random.Random(dim)
+    centre = [pick.gauss(0, scale) for _ in range(dim)]
+    rows = [(i, pick.randrange(3), [c + pick.gauss(0, scale) for c in centre]) for i in range(150)]
+    rows += [(i, label, x) for i, label, x in rows[40:50]]  # repeated rows, anchors among them
+    rows += [(300 + i, pick.randrange(3), rows[7][2]) for i in range(12)]  # ties
+    rows += [(None, 1, rows[3][2]), (None, None, rows[3][2]), (400, 1, None), (401, 1, []),
+             (402, 1, [0.0] * dim), (403, 1, [None] * dim), (404, 1, [float("nan")] * dim),
+             (405, 2, [float("inf")] + [1.0] * (dim - 1)), (410, 2, [-v for v in rows[0][2]]),
+             (420, 1, rows[5][2][:3]), (430, 99, rows[6][2])]
+    rows = floats(rows)
+    got = hard_negatives.mine(vectors(spark, rows), F.col("vec_id") % 10 == 0)
+    want = plain_negatives(rows, lambda i: i % 10 == 0)
+    assert want and values(got) == want
+
+
+def test_cells_and_batches_do_not_matter(spark, monkeypatch):
+    pick = random.Random(1)
+    rows = floats([(i, i % 4, [pick.choice([0.1, 0.2, 0.3]) for _ in range(6)])
+                   for i in range(200)])
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 7)
+    monkeypatch.setattr(hard_negatives, "CANDIDATES", 30)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 11)
+    try:
+        got = values(hard_negatives.mine(vectors(spark, rows), F.col("vec_id") % 5 == 0))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == plain_negatives(rows, lambda i: i % 5 == 0)
+
+
+def test_negatives_of_empty_tables(spark):
+    for rows in ([], [(1, 1, [1.0])], [(0, 1, [1.0])], [(0, None, [1.0]), (10, 1, None)]):
+        assert hard_negatives.mine(vectors(spark, rows), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_norms_beyond_the_primes_are_refused(spark):
+    rows = [(0, 1, [3e7, 1.0]), (1, 1, [1.0, 1.0])]
+    with pytest.raises(ValueError):
+        hard_negatives.mine(vectors(spark, rows), F.col("vec_id") % 10 == 0)
+
+
+def test_products_are_exact_and_signed():
+    pick = np.random.default_rng(4)
+    for bound, dim in ((10, 3), (50_000, 64), (20_000_000, 200)):
+        a = pick.integers(-bound, bound + 1, (20, dim))
+        b = pick.integers(-bound, bound + 1, (30, dim))
+        a[0], b[0] = bound, -bound
+        primes = hard_negatives.primes_for(bound * bound * dim)
+        got = hard_negatives.products(*(hard_negatives.residues(x.astype(float), primes)
+                                        for x in (a, b)), primes)
+        assert (got == a @ b.T).all()
+
+
+# ---- WARC -------------------------------------------------------------------------------
+
+PAGES = "page_id long, url string, html string, row string, digest string, payload string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(i, u, h, "x", "x", "x") for i, u, h in rows], PAGES)
+
+
+def plain_records(rows):
+    """The contract's columns of rows whose equal payloads have different ids."""
+    bodies = [(i, (h or "").encode()) for i, _, h in rows]
+    out = []
+    for i, body in bodies:
+        least = min((j for j, b in bodies if b == body), key=lambda j: (j is None, j))
+        out.append((i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(),
+                    "response" if i == least else "revisit", None if i == least else least))
+    return sorted(out, key=repr)
+
+
+def test_archives_equal_brute_force(spark):
+    big = prose(3, 30_000)
+    rows = [(1, "http://a/", "x"), (2, "http://b/ c\r\nd", "x"), (3, None, None), (4, "", ""),
+            (None, "http://n/", "x"), (5, "é", "ü\r\n\r\nWARC/1.1\r\n"), (6, "u", big),
+            (0, "u", big), (7, "u", "\x00 WARC/1.0"), (-3, "u", "minus")]
+    got = warc.digests(pages(spark, rows))
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert values(got) == plain_records(rows)
+
+
+def test_repeated_rows_have_one_response(spark):
+    rows = [(1, "u", "x"), (1, "u", "x"), (1, "u", "y"), (2, "u", "x"), (None, "u", "z"),
+            (None, "u", "z")]
+    got = values(warc.digests(pages(spark, rows)), "page_id", "record_type", "refers_to")
+    assert got == sorted([(1, "response", None), (1, "revisit", 1), (1, "response", None),
+                          (2, "revisit", 1), (None, "response", None), (None, "revisit", None)],
+                         key=repr)
+
+
+def test_small_payloads_may_stay_responses(spark):
+    rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "long enough"), (4, "u", "long enough")]
+    planned = warc.planned(pages(spark, rows), least_bytes=5)
+    assert values(planned, "page_id", "refers_to") == [(1, None), (2, None), (3, None), (4, 3)]
+
+
+def test_a_payload_most_pages_share(spark):
+    rows = [(i, "u", "same" if i % 3 else f"own {i}") for i in range(3000)]
+    assert values(warc.digests(pages(spark, rows))) == plain_records(rows)
+
+
+def test_no_pages(spark):
+    assert warc.digests(pages(spark, [])).collect() == []
+
+
+def test_archives_are_one_stream_then_one_member_a_record(spark, monkeypatch):
+    rows = [(i, f"http://x/{i}", prose(i, 50) if i % 5 else "same") for i in range(40)]
+    one, many = work_dir(spark, "one"), work_dir(spark, "many")
+    archives = warc.write(warc.planned(pages(spark, rows)), one)
+    files = warc.normalise(archives, one, many)
+    assert sum(r.records for r in archives.collect()) == 40
+    strict = re.compile(rb"WARC/1\.1\r\n(?:[^\r\n]+\r\n)+\r\n", re.S)
+
+    def content(folder, name):
+        return open(f"{folder}/{name}".removeprefix("file:"), "rb").read()
+
+    for r in archives.collect():
+        raw = content(one, r.archive)
+        assert raw.count(b"\x1f\x8b\x08") >= 1 and len(members(raw)) == 1
+    seen = 0
+    for r in files.collect():
+        raw, index = content(many, r.archive), content(many, r.sidecar)
+        lines = [json.loads(x) for x in index.splitlines()]
+        parts = members(raw)
+        assert len(parts) == len(lines) == r.records and r.bytes == len(raw)
+        for line, part in zip(lines, parts):
+            text = gzip.decompress(raw[line["offset"]:line["offset"] + line["length"]])
+            assert text == part and strict.match(text) and text.endswith(b"\r\n\r\n")
+            assert line["id"].encode() in text
+        seen += len(lines) - 1  # and the record about the archive
+    assert seen == 40
+    back = {r.page_id: r for r in warc.read(files, many).collect()}
+    for i, url, html in rows:
+        assert back[i].url == url
+        assert back[i].payload == (html.encode() if back[i].record_type == "response" else None)
+    monkeypatch.setattr(warc, "RANGE", 3)
+    assert warc.read(files, many).count() == 40
+
+
+def members(raw):
+    """The gzip members of ``raw``, inflated one by one."""
+    import zlib
+    out = []
+    while raw:
+        inflate = zlib.decompressobj(31)
+        out.append(inflate.decompress(raw) + inflate.flush())
+        raw = inflate.unused_data
+    return out
+
+
+def test_a_record_longer_than_a_chunk(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 100)
+    payload = prose(1, 900).encode()
+    whole = warc.about() + warc.record(1, 2, "u", payload, None, None)
+    for source in (gzip.compress(whole), gzip.compress(whole[:70]) + gzip.compress(whole[70:])):
+        target = io.BytesIO()
+        lines = list(warc.normalise_stream(io.BytesIO(source), target))
+        assert b"".join(members(target.getvalue())) == whole
+        assert [x["type"] for x in lines] == ["warcinfo", "response"]
+
+
+@pytest.mark.parametrize("spoil", [
+    lambda x: x[:-30], lambda x: x.replace(b"WARC/1.1\r\nWARC-Type: response", b"WARC-Type: response"),
+    lambda x: x + b"more", lambda x: x[:-4] + b"    "])
+def test_broken_archives_are_refused(spoil):
+    whole = warc.about() + warc.record(1, 2, "u", b"payload", None, None)
+    with pytest.raises(ValueError):
+        list(warc.normalise_stream(io.BytesIO(gzip.compress(spoil(whole))), io.BytesIO()))
+
+
+def test_a_changed_payload_is_refused():
+    raw = warc.record(1, 2, "u", b"payload", None, None).replace(b"payload\r\n", b"pAyload\r\n")
+    fields, block = warc.member(pa.BufferReader(gzip.compress(raw)), 0, len(gzip.compress(raw)))
+    with pytest.raises(ValueError):
+        warc._checked(fields, block)
