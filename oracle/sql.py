@@ -247,6 +247,12 @@ RULES = {
 }
 
 
+ALL_RULES = " AND ".join(RULES.values())
+# Columns of a stored event that are sent, which may be NULL.
+SENT = ["event_id", "user_id", "content_id", "content_title", "genre", "language", "city", "state",
+        "region", "device_type", "completion_pct"]
+
+
 def keyed(dim, columns):
     order = ", ".join(f"{c} NULLS FIRST" for c in columns)
     texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
@@ -278,6 +284,31 @@ _AFTER_SILVER = {
                   ORDER BY event_id LIMIT 5""",
     "encode_events": f"SELECT event_id AS key, {record_json()} AS value FROM silver",
     "json_parse": f"SELECT {record_columns()} FROM silver",
+    "path_fallback": "SELECT event_id, device_type, is_completed FROM silver",
+    "stream_restarts": """
+        SELECT n % 3 AS delivery, COUNT(*) AS read_rows, COUNT(*) AS stored_rows,
+               COUNT(DISTINCT n) AS stored_events, TRUE AS four_batches
+        FROM (SELECT event_id AS n FROM events) GROUP BY n % 3""",
+    "stream_status": """
+        SELECT CAST(batch AS BIGINT) AS batch_id,
+               COUNT(*) FILTER (WHERE batch = 0 OR event_id % 4 = 0) AS input_rows,
+               CAST(0 AS BIGINT) AS late_rows, CAST(0 AS BIGINT) AS state_rows,
+               TRUE AS timed, TRUE AS own_run
+        FROM events, range(2) AS t(batch) GROUP BY batch""",
+    "silver_increment": """
+        SELECT event_date, COUNT(*) AS events,
+               COUNT(*) FILTER (WHERE day(event_date) = 27 AND n % 5 = 2) AS replaced,
+               COUNT(*) FILTER (WHERE day(event_date) IN (20, 21) AND n % 5 = 1
+                                   OR day(event_date) = 27 AND n % 5 = 2) = 0 AS files_stay
+        FROM (SELECT event_date, CAST(event_id AS BIGINT) AS n FROM silver)
+        GROUP BY event_date""",
+    "fact_keys_over_loads": """
+        SELECT event_date, COUNT(*) AS events, COUNT(*) AS distinct_keys,
+               COUNT(*) FILTER (WHERE NOT late) AS kept_keys,
+               COUNT(*) FILTER (WHERE late) AS new_keys
+        FROM (SELECT event_date, day(event_date) IN (20, 21)
+                                 AND CAST(event_id AS BIGINT) % 5 = 1 AS late FROM silver)
+        GROUP BY event_date""",
     "stream_bronze": f"SELECT {record_columns()}, 'message_stream' AS source FROM silver",
     "bronze_union": """
         SELECT source, COUNT(*) AS row_count, COUNT(DISTINCT event_id) AS event_count,
@@ -403,6 +434,36 @@ _AFTER_SILVER = {
     "expect_or_drop_failures": " UNION ALL ".join(
         f"SELECT '{name}' AS rule, COUNT(*) FILTER (WHERE NOT coalesce({rule}, FALSE)) "
         f"AS failed_rows FROM silver" for name, rule in RULES.items()),
+    "expect_or_drop_counted": " UNION ALL ".join(
+        f"SELECT 'events' AS dataset, '{name}' AS rule, COUNT(*) FILTER (WHERE NOT coalesce({rule}, "
+        f"FALSE)) AS failed_rows, COUNT(*) AS seen_rows, COUNT(*) FILTER (WHERE {ALL_RULES}) "
+        f"AS kept_rows, COUNT(*) FILTER (WHERE {ALL_RULES}) AS stored_rows FROM silver"
+        for name, rule in RULES.items()),
+    "dq_stored_layers": f"""
+        SELECT 'rows' AS "check", item, n AS value
+        FROM (SELECT COUNT(*) AS n FROM silver),
+             (VALUES ('bulk_history'), ('watch_obt'), ('fact_watch_events')) AS t(item)
+        UNION ALL SELECT 'duplicates', item, 0
+        FROM (VALUES ('bulk_history'), ('watch_obt'), ('fact_watch_events')) AS t(item)
+        UNION ALL SELECT 'invalid', item, value FROM (
+          SELECT COUNT(*) FILTER (WHERE raw_pct < 0 OR raw_pct > 100) AS invalid_completion,
+                 COUNT(*) FILTER (WHERE watch_duration_mins <= 0) AS invalid_duration,
+                 COUNT(*) FILTER (WHERE subscription_price <= 0) AS invalid_price FROM silver)
+        UNPIVOT (value FOR item IN (invalid_completion, invalid_duration, invalid_price))
+        UNION ALL SELECT 'nulls', item, value FROM (
+          SELECT {", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in SENT)} FROM silver)
+        UNPIVOT (value FOR item IN ({", ".join(SENT)})) WHERE value > 0
+        UNION ALL SELECT 'completion', completion_category, COUNT(*) FROM silver GROUP BY ALL
+        UNION ALL SELECT 'time_of_day', time_of_day, COUNT(*) FROM silver GROUP BY ALL
+        UNION ALL SELECT 'orphans', item, value FROM (
+          SELECT COUNT(*) FILTER (WHERE content_id IS NULL OR content_title IS NULL) AS dim_content,
+                 COUNT(*) FILTER (WHERE city IS NULL) AS dim_locations,
+                 COUNT(*) FILTER (WHERE device_type IS NULL) AS dim_devices FROM silver)
+        UNPIVOT (value FOR item IN (dim_content, dim_locations, dim_devices))
+        UNION ALL SELECT 'loss', 'events', COUNT(DISTINCT event_id) - COUNT(*) FROM silver
+        UNION ALL SELECT 'rejected', item, 0
+        FROM (VALUES ('unreadable'), ('partly_readable'), ('empty')) AS t(item)
+        UNION ALL SELECT 'missing', 'stream_events', 1""",
     # reports
     "report_views_by_device": aggregation("device_type", limit=10),
     "report_views_by_subscription": aggregation("subscription_plan", where="is_completed = 1"),
@@ -446,6 +507,25 @@ _AFTER_SILVER = {
                COUNT(event_id) AS total_views, {COMPLETED} AS completed_views,
                COUNT(DISTINCT user_id) AS unique_users
         FROM fact GROUP BY date_trunc('hour', event_timestamp)""",
+    # A row is late if the watermark, which the deliveries before its own have set, has passed it.
+    "gold_hourly_pulse_stream": """
+        , sent AS (
+          SELECT event_id, user_id, is_completed, event_timestamp AS ts,
+                 least((day(event_timestamp) - 1) // 10, 2)
+                   + CASE WHEN CAST(event_id AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END AS delivery
+          FROM fact),
+        marks AS (
+          SELECT delivery, date_trunc('milliseconds', max(max(ts)) OVER (
+                   ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+                   - INTERVAL 2 DAY AS mark FROM sent GROUP BY delivery),
+        timely AS (
+          SELECT sent.* FROM sent LEFT JOIN marks ON marks.delivery = sent.delivery - 1
+          WHERE mark IS NULL OR ts > mark)
+        SELECT date_trunc('hour', ts) AS event_hour_start, COUNT(event_id) AS total_views,
+               CAST(SUM(is_completed) AS BIGINT) AS completed_views,
+               COUNT(DISTINCT user_id) AS unique_users
+        FROM timely GROUP BY date_trunc('hour', ts)
+        HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(mark) FROM marks)""",
     "gold_trending_content": """
         SELECT content_id, COUNT(event_id) AS total_views FROM fact
         WHERE event_timestamp > (SELECT MAX(event_timestamp) FROM fact) - INTERVAL 7 DAY

@@ -43,7 +43,8 @@ def trending_content(fact, days=7, n=10):
     """The most viewed contents of the last ``days`` days before the latest event."""
     ts = F.col("event_timestamp")
     if "event_date" in fact.columns:
-        # Days are partitions: the last one is found by listing, and only days in reach are read.
+        # Where days are partitions, their maximum reads no column of the files, the time is
+        # read of the last day only, and the rest of the days in reach.
         day = fact.agg(F.max("event_date").alias("day")).first().day
         if day is not None:
             last = F.lit(day)

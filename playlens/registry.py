@@ -7,22 +7,23 @@ queries of its own. Load times and generated ids are left out of the results.
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlens import schemas
 from playlens.functions import features
 from playlens.operators import dims, quality
-from playlens.operators.expectations import expect_or_drop, failures
+from playlens.operators.expectations import expect_or_drop, failures, save_expected
 from playlens.operators.fact import build_fact
 from playlens.operators.keys import dense_keys, new_keys
 from playlens.operators.silver import build_silver, clean, deduplicate, summary
-from playlens.plans import gold, pipeline, reports, star
+from playlens.plans import checks, gold, pipeline, reports, star
 from playlens.plans.pipeline import DIMENSIONS
-from playlens.session import work_dir
+from playlens.session import kept, work_dir
 from playlens.sources import messages, sample, tables
 from playlens.streaming import bronze as stream
+from playlens.streaming import pulse
 
 # Report arguments that select rows of the sample data.
 GENRE, REGION = "ECONOMY", "ASIA"
@@ -176,8 +177,103 @@ def stream_bronze(spark, sf_dir):
     return doubles(messages.readable(stored).drop("ingested_at"))
 
 
+@query
+def path_fallback(spark, sf_dir):
+    """A table whose database can't be made: its folder would lie below a file."""
+    base = work_dir(spark, "path_fallback")
+    rows = silver(spark, sf_dir).select("event_id", "device_type", "is_completed")
+    tables.write_table(rows, f"{base}/watch_obt")
+    file = spark.read.parquet(f"{base}/watch_obt").select("_metadata.file_path").first()[0]
+    return tables.registered_or_path(spark, "playlens_nowhere", "watch_obt", f"{base}/watch_obt",
+                                     location=f"{file}/catalog")
+
+
+def deliver(records, folder):
+    """Sends records as a text file per task into a folder that a stream reads."""
+    messages.publish(messages.encode(records), "text", path=folder)
+
+
+@query
+def stream_restarts(spark, sf_dir):
+    """Three deliveries to one stream that is started anew for each, a file per batch."""
+    base = work_dir(spark, "stream_restarts")
+    records = sample.watch_records(spark, sf_dir)
+    third = F.expr("cast(event_id AS bigint) % 3")
+    for number in range(3):
+        deliver(records.filter(third == number).repartition(4), f"{base}/incoming")
+        incoming = stream.message_source(spark, "text", f"{base}/incoming", maxFilesPerTrigger=1)
+        stream.ingest_available(incoming, f"{base}/stream_events", f"{base}/checkpoint",
+                                log=f"{base}/progress")
+    runs = stream.stream_history(spark, f"{base}/progress").withColumn("delivery", (
+        F.row_number().over(Window.orderBy("first_batch")) - 1).cast("long"))  # three rows
+    rows = messages.readable(spark.read.parquet(f"{base}/stream_events")).groupBy(
+        third.alias("delivery")).agg(F.count("*").alias("stored_rows"),
+                                     F.countDistinct("event_id").alias("stored_events"))
+    return runs.join(rows, "delivery").select(
+        "delivery", F.col("input_rows").alias("read_rows"), "stored_rows", "stored_events",
+        (F.col("batches") == 4).alias("four_batches"))
+
+
+@query
+def stream_status(spark, sf_dir):
+    """The history of a stream that ran twice: its batches by number, with their rows."""
+    base = work_dir(spark, "stream_status")
+    records = sample.watch_records(spark, sf_dir)
+    again = F.expr("cast(event_id AS bigint) % 4 = 0")
+    for part in (records, records.filter(again)):
+        deliver(part, f"{base}/incoming")
+        incoming = stream.message_source(spark, "text", f"{base}/incoming")
+        stream.ingest_available(incoming, f"{base}/stream_events", f"{base}/checkpoint",
+                                log=f"{base}/progress")
+    return spark.read.schema(stream.PROGRESS).parquet(f"{base}/progress").select(
+        "batch_id", "input_rows", "late_rows", "state_rows",
+        (F.col("duration_ms") > 0).alias("timed"),
+        (F.count("*").over(Window.partitionBy("run_id")) == 1).alias("own_run"))
+
+
 # ---- silver ---------------------------------------------------------------------
 
+#: Load times of the deliveries of ``two_loads``: an early copy, the first load, the second.
+EARLY, FIRST, SECOND = "2024-01-31 00:00:00", "2024-02-01 00:00:00", "2024-02-02 00:00:00"
+
+
+def two_loads(spark, sf_dir):
+    """The raw rows of two loads. The first lacks every fifth event of the 20th and 21st. The second
+    brings these, copies of events of the 25th that change nothing, and of the 27th copies
+    that were made before the first load and so replace the stored ones."""
+    events = sample.watch_events(spark, sf_dir, content=True, place=True)
+    day, fifth = F.dayofmonth("event_timestamp"), F.expr("cast(event_id AS bigint) % 5")
+    held = day.isin(20, 21) & (fifth == 1)
+
+    def loaded(rows, at):
+        return messages.stamp(rows, messages.STREAM, F.lit(at).cast("timestamp"))
+
+    copies = events.filter(fifth == 2).withColumn("action", F.expr("concat('again ', action)"))
+    second = loaded(events.filter(held), SECOND).unionByName(
+        loaded(copies.filter(day == 25), SECOND)).unionByName(
+        loaded(copies.filter(day == 27), EARLY))
+    return loaded(events.filter(~held), FIRST), second
+
+
+@query
+def silver_increment(spark, sf_dir):
+    """A second load of silver: rows a day, replaced ones, and whether a day kept its files."""
+    lake = pipeline.Lake(work_dir(spark, "silver_increment"))
+
+    def files(table):
+        return kept(table.select("event_date", "_metadata.file_path").distinct())
+
+    first, second = two_loads(spark, sf_dir)
+    before = files(pipeline.load_silver(first, None, lake))
+    table, _ = pipeline.refresh_silver(second, lake)
+    same = before.unionAll(files(table)).groupBy("event_date", "file_path").count().groupBy(
+        "event_date").agg((F.min("count") == 2).alias("files_stay"))
+    rows = table.groupBy("event_date").agg(
+        F.count("*").alias("events"), F.count_if(F.col("action").startswith("again")).alias(
+            "replaced"))
+    return rows.join(same, "event_date")
+
+
 @query
 def project(spark, sf_dir):
     return silver(spark, sf_dir).select("event_id", "user_id", "content_id", "device_type")
@@ -277,15 +373,19 @@ def dim_keys(spark, sf_dir):
         "dim_locations": location_dim(spark, sf_dir),
         "dim_date": dim_date(spark, sf_dir),
     }
-    keyed = []
-    for name, (_, natural, _) in DIMENSIONS.items():
+
+    def keyed(name):
+        _, natural, _ = DIMENSIONS[name]
         text = F.concat_ws("|", *[F.col(c).cast("string") for c in natural])
         # A first load of the rows that sort before "M", then one of all: old keys stay.
         early = text < "M"
         first = dense_keys(built[name].filter(early), natural, "dim_key")
         both = first.unionByName(new_keys(built[name], first, natural, "dim_key"))
-        keyed.append(both.select(F.lit(name).alias("dim"), text.alias("natural_key"), "dim_key"))
-    return reduce(DataFrame.unionByName, keyed)
+        return both.select(F.lit(name).alias("dim"), text.alias("natural_key"), "dim_key")
+
+    # Writing the sorted rows of each takes jobs; they do not wait for each other.
+    found = pipeline.side_by_side(dict.fromkeys(DIMENSIONS, keyed))
+    return reduce(DataFrame.unionByName, found.values())
 
 
 @query
@@ -293,6 +393,22 @@ def fact_watch_events(spark, sf_dir):
     return doubles(fact(spark, sf_dir, place=True))
 
 
+@query
+def fact_keys_over_loads(spark, sf_dir):
+    """Fact keys after a second load: kept for known events, above all others for new ones."""
+    lake = pipeline.Lake(work_dir(spark, "fact_keys_over_loads"))
+    first, second = two_loads(spark, sf_dir)
+    before = kept(pipeline.load_increment(first, lake)["fact_watch_events"].select(
+        "event_id", F.col("fact_key").alias("old_key")))
+    after = pipeline.load_increment(second, lake)["fact_watch_events"]
+    top = before.agg(F.max("old_key")).scalar()
+    keys = after.select("event_id", "event_date", "fact_key").join(before, "event_id", "left")
+    return keys.groupBy("event_date").agg(
+        F.count("*").alias("events"), F.countDistinct("fact_key").alias("distinct_keys"),
+        F.count_if(F.col("fact_key") == F.col("old_key")).alias("kept_keys"),
+        F.count_if(F.col("old_key").isNull() & (F.col("fact_key") > top)).alias("new_keys"))
+
+
 @query
 def star_genre_views(spark, sf_dir):
     return star.genre_views(fact(spark, sf_dir), content_dim(spark, sf_dir))
@@ -472,6 +588,49 @@ def expect_or_drop_failures(spark, sf_dir):
     return failures(_ruled(spark, sf_dir), RULES)
 
 
+@query
+def expect_or_drop_counted(spark, sf_dir):
+    """The log of a load under rules, counted while it was written, and what it wrote."""
+    base = work_dir(spark, "expect_or_drop_counted")
+    table, _ = save_expected(_ruled(spark, sf_dir), RULES, f"{base}/events", "events",
+                             log=f"{base}/expectations")
+    stored = table.agg(F.count("*")).scalar()
+    return spark.read.parquet(f"{base}/expectations").select(
+        "dataset", "rule", "failed_rows", "seen_rows", "kept_rows",
+        stored.alias("stored_rows"))
+
+
+@query
+def dq_stored_layers(spark, sf_dir):
+    """The quality run over a lake's files before its first message, so one layer is missing."""
+    base = work_dir(spark, "dq_stored_layers")
+    lake = pipeline.Lake(base)
+    sample.watch_records(spark, sf_dir).write.json(f"{base}/history")
+    history = tables.scan_json(spark, f"{base}/history", schemas.WATCH_EVENT)
+    pipeline.load_gold(pipeline.load_silver(
+        pipeline.load_bronze_bulk(history, lake), None, lake), lake)
+    found = checks.check_lake(spark, lake)
+
+    def listed(check, frame, item, value):
+        return frame.select(F.lit(check).alias("check"), F.expr(item).alias("item"),
+                            F.expr(value).cast("long").alias("value"))
+
+    invalid = found.invalid.unpivot([], found.invalid.columns, "item", "value")
+    missing = spark.createDataFrame([(name,) for name in found.missing], "name string")
+    return reduce(DataFrame.unionByName, [
+        listed("rows", found.profile, "table_name", "total_rows"),
+        listed("duplicates", found.profile, "table_name", "duplicates"),
+        listed("nulls", found.nulls["watch_obt"].filter("null_count > 0"), "column_name",
+               "null_count"),
+        listed("invalid", invalid, "item", "value"),
+        listed("completion", found.completion, "completion_category", "count"),
+        listed("time_of_day", found.time_of_day, "time_of_day", "count"),
+        listed("orphans", found.orphans, "dimension", "orphan_rows"),
+        listed("loss", found.loss, "'events'", "bronze_events - silver_rows"),
+        listed("rejected", found.rejected, "reason", "messages"),
+        listed("missing", missing, "name", "1")])
+
+
 # ---- reports --------------------------------------------------------------------
 
 @query
@@ -552,8 +711,9 @@ def views_by_device_end_to_end(spark, sf_dir):
 
 @query
 def run_reports_status(spark, sf_dir):
-    """The nine reports and one that fails when it runs."""
-    sources = {"fact_watch_events": fact(spark, sf_dir, True),
+    """The nine reports and one that fails when it runs, on a fact that is written once."""
+    stored = tables.write_table(fact(spark, sf_dir, True), work_dir(spark, "run_reports"))
+    sources = {"fact_watch_events": stored,
                "dim_content": content_dim(spark, sf_dir),
                "dim_locations": location_dim(spark, sf_dir)}
     failing = reports.Report("failing", lambda rows: rows.select(
@@ -591,6 +751,27 @@ def gold_hourly_pulse(spark, sf_dir):
     return gold.hourly_pulse(fact(spark, sf_dir))
 
 
+@query
+def gold_hourly_pulse_stream(spark, sf_dir):
+    """The pulse as a stream over four deliveries: ten days each, with every tenth event a
+    delivery late and every seventh sent a second time, a delivery later. Hours that the
+    watermark, two days behind, has passed."""
+    base = work_dir(spark, "gold_hourly_pulse_stream")
+    n = F.expr("cast(event_id AS bigint)")
+    records = sample.watch_records(spark, sf_dir)
+    period = F.least(F.floor((F.dayofmonth(F.col("event_timestamp").cast("timestamp")) - 1) / 10),
+                     F.lit(2))
+    sent = period + F.when(n % 10 == 0, 1).otherwise(0)
+    for number in range(4):
+        due = (sent == number) | ((n % 7 == 0) & (sent == number - 1))
+        deliver(records.filter(due), f"{base}/incoming")
+        incoming = stream.message_source(spark, "text", f"{base}/incoming")
+        events = clean(messages.readable(messages.decode(incoming)))
+        pulse.pulse_available(events, f"{base}/pulse", f"{base}/checkpoint", lateness="2 days")
+    return spark.read.parquet(f"{base}/pulse").withColumn(
+        "event_hour_start", F.col("event_hour_start").cast("timestamp_ntz"))
+
+
 @query
 def gold_trending_content(spark, sf_dir):
     return gold.trending_content(fact(spark, sf_dir))

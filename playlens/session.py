@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+from collections import defaultdict
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -39,6 +41,34 @@ def work_dir(spark, name):
     return f"{base.rstrip('/')}/playlens/{name}/{uuid.uuid4().hex}"
 
 
+def _files(spark, path):
+    """(file system, path) of a path, which may hold any character."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete(spark, path):
+    """Delete a folder or file with all below it; none there is fine."""
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
+def names_in(spark, path):
+    """Names of what a folder holds; none if it is not there."""
+    files, place = _files(spark, path)
+    return {f.getPath().getName() for f in files.listStatus(place)} if files.exists(place) else set()
+
+
+def observed(observation):
+    """The counts of an ``Observation``; zero each where Spark knew that there were no rows."""
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):  # it has no row then
+            raise
+        return defaultdict(int)
+
+
 @contextmanager
 def temporary_dir(spark, name):
     """A ``work_dir`` that is deleted when the block ends; read nothing from it later."""
@@ -46,8 +76,7 @@ def temporary_dir(spark, name):
     try:
         yield path
     finally:
-        files = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
+        delete(spark, path)
 
 
 def kept(df):

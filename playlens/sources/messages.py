@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlens.schemas import WATCH_EVENT
+from playlens.session import observed
 
 CORRUPT = "_corrupt_record"
 # Source labels of the two ways into the raw layer.
@@ -108,4 +109,5 @@ def publish(messages, fmt="kafka", max_bytes=None, rejects=None, path=None, **op
     sent.write.format(fmt).mode("append").options(**options).save(path)
     if rejects is not None:
         messages.filter(~fits).write.mode("append").parquet(rejects)
-    return {"status": "complete", **seen.get}
+    done = observed(seen)
+    return {"status": "complete", **{c: done[c] for c in ("success_count", "failed_count")}}

@@ -4,9 +4,15 @@
 transaction log (where its jar is present) through the same parameter.
 """
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playlens.session import delete, names_in
+
+#: The folder of a partition whose value is NULL.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 #: Formats that are read with the schema of what was written.
 _FILES = ("parquet", "orc", "avro", "json")
@@ -61,6 +67,33 @@ def write_table(df, path, fmt="parquet", mode="overwrite", partition_by=(), reba
     return reader.load(path).select(*df.columns)
 
 
+def in_partitions(df, column, values):
+    """The rows of ``df`` in the given partitions, of which None may be one."""
+    known = [v for v in values if v is not None]
+    wanted = F.col(column).isin(known) if known else F.lit(False)
+    return df.filter(wanted | F.col(column).isNull() if None in values else wanted)
+
+
+def replace_partitions(df, path, column, values, fmt="parquet"):
+    """Replace the partitions ``values`` of the table at ``path`` by the rows of ``df``.
+
+    All of ``df`` must be in those partitions, whose values are dates, numbers or plain words.
+    Other partitions keep their files, and ``df`` may read the table itself: new files are moved
+    in when all are written. A partition without rows any more is deleted. Without a
+    transaction log a reader may meet the partitions half exchanged."""
+    spark = df.sparkSession
+    if values:
+        folders = [f"{path}/{column}={_NO_VALUE if v is None else v}" for v in values]
+        before = {f: names_in(spark, f) for f in folders}
+        df.hint("rebalance", column).write.format(fmt).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(column).save(path)
+        for folder, names in before.items():
+            if names & names_in(spark, folder):  # what had rows was exchanged whole
+                delete(spark, folder)
+    return scan_table(spark, path, fmt, df.schema if fmt in _FILES else None).select(
+        *df.columns)
+
+
 def save_gold(df, base, name, fmt="parquet", **layout):
     """Write ``base/name`` and name the written table as a view.
 
@@ -85,11 +118,15 @@ def register_table(spark, database, name, path, fmt="parquet", location=None):
     return spark.table(f"{database}.{name}")
 
 
-def registered_or_path(spark, database, name, path, fmt="parquet"):
-    """The registered table; the files themselves where registration fails."""
+def registered_or_path(spark, database, name, path, fmt="parquet", location=None):
+    """The registered table; the files themselves where registration fails.
+
+    ``location`` is where a new database is kept. What the catalog and its storage refuse (no
+    such catalog, no permission, a folder that can't be made) falls back to the path; errors of
+    another kind are raised, and so is that of a path that can't be read either."""
     try:
-        return register_table(spark, database, name, path, fmt)
-    except Exception:  # noqa: BLE001 - any catalog error falls back to the path
+        return register_table(spark, database, name, path, fmt, location)
+    except (PySparkException, Py4JJavaError):
         return scan_table(spark, path, fmt)
 
 

@@ -55,6 +55,11 @@ def test_publish_sends_everything(spark, base):
     assert sorted(r.key for r in spark.read.parquet(f"{base}/out").collect()) == ["a", "b", "c"]
 
 
+def test_publish_of_nothing(spark, base):
+    frame = spark.createDataFrame([("a", "x")], "key string, value string").limit(0)
+    assert messages.publish(frame, "parquet", path=f"{base}/out")["success_count"] == 0
+
+
 def test_publish_keeps_what_a_sink_refuses(spark, base):
     frame = spark.createDataFrame([("a", "x" * 5), ("b", "x" * 50), ("c", None)],
                                   "key string, value string")
