@@ -1,78 +1,91 @@
 """Language-model scores by prediction by partial matching, and a unigram base score.
 
-The model is a trie of byte contexts of up to four bytes, pretrained on the training fold.
-Each training text gives its bytes and an end symbol; at every place the last four symbols
-(the start of a text is padded) count the symbol that follows. Those five-symbol counts are
-summed by Spark over the whole fold; the counts of shorter contexts are their sums. A
-symbol's probability in a context of ``k`` bytes with total ``T`` and ``D`` distinct successors
-is its count over ``T + D``; otherwise the context escapes with ``D / (T + D)`` to the one a
-byte shorter (method C). What a longer context has seen is excluded there: as a successor
-of a context is one of each shorter context too, the excluded count and number of a level
-are fixed sums per longer context, and the probability has a closed form. Below the empty
+The model is a trie of byte contexts of up to five bytes, pretrained on the training fold.
+Each training text gives its bytes and an end symbol; at every place the last ``ORDER`` symbols
+(the start of a text is padded) count the symbol that follows. These counts are summed by
+Spark over the whole fold; the counts of shorter contexts are their sums. A symbol's
+probability in a context of ``k`` bytes with total ``T`` and ``D`` distinct successors is its count
+over ``T + D``; otherwise the context escapes with ``D / (T + D)`` to the one a byte shorter
+(method C). What a longer context has seen is excluded there: as a successor of a
+context is one of each shorter context too, the excluded count and number of a level are
+fixed sums per longer context, and the probability has a closed form. Below the empty
 context all symbols that it has not seen are equally likely. A text's score is the sum over
 its bytes and the end symbol, in log10.
 
-Scoring looks the counts up in tables that are broadcast. The counts of three symbols are
-bounded by 256 ** 3 entries. Those of four and five are cut into blocks of about
-``TRIE_ROWS`` rows by a hash of the last three bytes of their contexts; a trie beyond one
-block is scored in several passes over the texts, each adding up the places whose context
-falls in its block, so what is broadcast does not grow with the corpus.
+The texts are read once. The most frequent strings of ``ORDER + 1`` symbols, at most
+``TRIE_ROWS`` of them, are broadcast with their probabilities and looked up in place; each row's
+other strings, with how often it has them, are joined to the trie by a shuffle and summed up
+per row. What the trie does not hold is resolved once per distinct string, level by level,
+by joins to the tables of contexts. So neither the driver nor a broadcast holds more than
+``TRIE_ROWS`` rows of the trie, whatever its size, and no pass is added as it grows.
 
 The base score is that of a unigram word model with 0.1 added to every count. Word counts are
 a grouped sum. Their most frequent words, as many as fit ``HOT_BYTES`` by count, are
 broadcast and looked up where the texts are read; each text's other words are joined to the
 counts by a shuffle, in which no word can be hot, and summed up per row.
 
-Defined results: a null or empty text has the end symbol only. Rows are told apart by
-their place in the files, so repeated and null ``doc_id`` give a row each; a null id counts as
-empty text in the fold. With an empty training fold all bytes are equally likely and the
-base score is that of one word unseen. Other columns are ignored.
+Defined results: a null or empty text has the end symbol only. A text longer than a block is
+read in pieces that overlap by a context. Rows are told apart by their place in the files,
+so repeated and null ``doc_id`` give a row each; a null id counts as empty text in the fold.
+With an empty training fold all bytes are equally likely and the base score is that of one
+word unseen; an empty table gives no rows. Other columns are ignored.
 """
 
 from collections import Counter
-from functools import reduce
-from math import ceil, fsum, log10
+from math import fsum, log10
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.common import bucket, placed, placed_texts, stored, text_blocks, texts
 
 FOLDS = 10
-ORDER = 4
-LOWEST = 3  # symbols of the counts that are sent whole
+ORDER = 5
 END = 0xFF  # a byte that UTF-8 never holds: the end of a text, and the padding before it
 ADDED = 0.1
 TRIE_ROWS = 2_000_000
 #: Bytes of frequent words, of 60 and their length each, that are looked up in place.
 HOT_BYTES = 16 << 20
 BLOCK_BYTES = 2 << 20
+_PAD = bytes([END]) * ORDER
 
 
-def _grams(values):
-    """(grams of ORDER + 1 symbols at every place of the texts, symbols per text)."""
-    pad = bytes([END]) * ORDER
-    raw = np.frombuffer(b"".join([pad + v + b"\xff" for v in values]), np.uint8)
+def _windows(raw):
+    """The strings of ORDER + 1 symbols at every place but the first ORDER."""
+    raw = np.frombuffer(raw, np.uint8)
     grams = np.zeros(len(raw) - ORDER, np.uint64)
     for i in range(ORDER + 1):
         grams = grams << np.uint64(8) | raw[i:len(raw) - ORDER + i]
+    return grams
+
+
+def _grams(values, limit):
+    """(strings at every place of the texts, symbols per text), in parts of about ``limit``."""
+    if len(values) == 1 and len(values[0]) > limit:
+        raw = _PAD + values[0] + b"\xff"
+        for start in range(0, len(raw) - ORDER, limit):
+            grams = _windows(raw[start:start + limit + ORDER])
+            yield grams, np.array([len(grams)])
+        return
+    grams = _windows(b"".join([_PAD + v + b"\xff" for v in values]))
     sizes = np.array([len(v) + 1 for v in values])
-    # Between two texts there are ORDER grams that end in padding.
+    # Between two texts there are ORDER strings that end in padding.
     ends = np.cumsum(sizes + ORDER)
     inside = np.ones(len(grams) + ORDER, bool)
     for i in range(ORDER):
         inside[ends - 1 - i] = False
-    return grams[inside[:len(grams)]], sizes
+    yield grams[inside[:len(grams)]], sizes
 
 
 def _count(batches):
-    for block, values in text_blocks(batches, BLOCK_BYTES * 4):
-        grams, counts = np.unique(_grams(values)[0], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grams.astype(np.int64)), pa.array(counts.astype(np.int64))],
-            names=["gram", "n"])
+    limit = BLOCK_BYTES * 4
+    for _, values in text_blocks(batches, limit):
+        for part, _ in _grams(values, limit):
+            grams, counts = np.unique(part, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams.astype(np.int64)), pa.array(counts.astype(np.int64))],
+                names=["gram", "n"])
 
 
 def train(docs):
@@ -81,76 +94,79 @@ def train(docs):
     return stored(counts.groupBy("gram").agg(F.sum("n").alias("n")), "ppm_trie")
 
 
-class Level:
-    """Counts of one context length: of symbols by (context, symbol), and per context."""
-
-    def __init__(self, grams, counts):
-        self.grams, at = np.unique(grams, return_inverse=True)
-        self.counts = np.bincount(at, counts, len(self.grams)).astype(np.float64)
-        self.contexts, at = np.unique(self.grams >> np.uint64(8), return_inverse=True)
-        self.total = np.bincount(at, self.counts, len(self.contexts))
-        self.distinct = np.bincount(at, minlength=len(self.contexts)).astype(np.float64)
-
-    def excluded(self, longer, bits):
-        """Per context of ``longer``: the count here of what it has seen."""
-        mask = np.uint64((1 << bits) - 1)
-        seen = self.counts[_find(self.grams, longer.grams & mask)[0]]
-        at = np.searchsorted(longer.contexts, longer.grams >> np.uint64(8))
-        return np.bincount(at, seen, len(longer.contexts))
-
-
-def _find(keys, wanted):
-    """(place, found) of ``wanted`` in sorted ``keys``."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
-
-
-class Trie:
-    """log10 probabilities of grams whose first bytes are in one block of the trie.
-
-    ``tables`` are (grams, counts) of ORDER + 1 symbols and fewer, of the block, and at last of
-    LOWEST symbols, of the whole corpus, from which the levels below are summed."""
-
-    def __init__(self, tables):
-        self.levels = [None] * (ORDER + 1)
-        for k in range(ORDER, -1, -1):
-            grams, counts = tables[min(ORDER - k, len(tables) - 1)]
-            self.levels[k] = Level(grams & np.uint64((1 << 8 * (k + 1)) - 1), counts)
-        self.out = [None] + [
-            self.levels[k - 1].excluded(self.levels[k], 8 * k) for k in range(1, ORDER + 1)]
-        self.table = _Table(self.levels[ORDER].grams, self.log10(self.levels[ORDER].grams))
-
-    def log10(self, grams):
-        """The closed form, for any grams."""
-        result = np.zeros(len(grams))
-        left = np.arange(len(grams))  # what has not been found yet
-        gone = np.zeros(len(grams)), np.zeros(len(grams))  # excluded count and number
-        for k in range(ORDER, -1, -1):
-            level = self.levels[k]
-            own = grams[left] & np.uint64((1 << 8 * (k + 1)) - 1)
-            context, known = _find(level.contexts, own >> np.uint64(8))
-            place, found = _find(level.grams, own)
-            if not len(level.contexts):
-                continue
-            total = np.where(known, level.total[context], 0) - gone[0]
-            distinct = np.where(known, level.distinct[context], 0) - gone[1]
-            space = total + distinct
-            with np.errstate(divide="ignore", invalid="ignore"):
-                hit = np.log10(level.counts[place] / space)
-                # Where everything is excluded there is nothing to escape from.
-                escape = np.where(space > 0, np.log10(distinct / space), 0.0)
-            result[left] += np.where(found, hit, escape)
-            left = left[~found]
-            if not len(left):
-                return result
-            if k:
-                gone = [np.where(known, x[context], 0.0)[~found]
-                        for x in (self.out[k], level.distinct)]
-        unseen = 256 - len(self.levels[0].grams)
-        result[left] -= log10(unseen)
-        return result
+def _last(column, symbols):
+    return F.col(column).bitwiseAND(F.lit((1 << 8 * symbols) - 1))
+
+
+def _before(column):
+    """The context of a string."""
+    return F.shiftright(F.col(column), 8)
+
+
+def levels(trie):
+    """The counts of strings of ORDER + 1 symbols and fewer, by the length of their context."""
+    found = {ORDER: trie}
+    for k in range(ORDER - 1, -1, -1):
+        found[k] = stored(found[k + 1].groupBy(_last("gram", k + 1).alias("gram")).agg(
+            F.sum("n").alias("n")), f"ppm_level_{k}")
+    return found
+
+
+def seen(trie):
+    """(gram, n, logp): the probabilities of the strings that the trie holds, stored."""
+    contexts = trie.groupBy(_before("gram").alias("context")).agg(
+        (F.sum("n") + F.count("n")).alias("space"))
+    return stored(trie.withColumn("context", _before("gram")).join(contexts, "context").select(
+        "gram", "n", F.log10(F.col("n") / F.col("space")).alias("logp")), "ppm_seen")
+
+
+def _contexts(grams, shorter, k):
+    """(context, total, distinct, excluded) of contexts of ``k`` symbols; excluded is the count, among
+    the successors of the context a byte shorter, of those that it has seen itself."""
+    rows = grams.select(_before("gram").alias("context"), "n", _last("gram", k).alias("below"))
+    if shorter is None:
+        rows = rows.withColumn("m", F.lit(0))
+    else:
+        rows = rows.join(shorter.select(F.col("gram").alias("below"), F.col("n").alias("m")), "below")
+    return rows.groupBy("context").agg(F.sum("n").alias("total"), F.count("n").alias("distinct"),
+                                       F.sum("m").alias("excluded"))
+
+
+def resolved(missing, found):
+    """(gram, logp) of strings that the trie does not hold, by the closed form.
+
+    ``found`` are its ``levels``. Tables of contexts of two symbols and fewer are small by their
+    nature and broadcast; the others are joined as Spark sees fit."""
+    state = missing.select("gram", F.lit(0.0).alias("logp"), F.lit(False).alias("done"),
+                           F.lit(0).cast("long").alias("gone_n"), F.lit(0).cast("long").alias("gone_d"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    for k in range(ORDER, -1, -1):
+        contexts = _contexts(found[k], found[k - 1] if k else None, k)
+        grams = found[k].select(F.col("gram").alias("own"), F.col("n").alias("hit"))
+        if k <= 2:  # 256 ** k contexts at most
+            contexts = F.broadcast(contexts)
+        if k <= 1:
+            grams = F.broadcast(grams)
+        state = state.withColumn("context", _last("gram", k + 1)).withColumn(
+            "own", F.col("context")).withColumn("context", _before("context"))
+        state = state.join(contexts, "context", "left")
+        if k < ORDER:  # at the longest context none is found
+            state = state.join(grams, "own", "left")
+        else:
+            state = state.withColumn("hit", F.lit(None).cast("long"))
+        distinct = zero("distinct") - F.col("gone_d")
+        space = zero("total") - F.col("gone_n") + distinct
+        hit = F.col("hit").isNotNull()
+        # Where everything is excluded there is nothing to escape from.
+        step = F.when(hit, F.log10(F.col("hit") / space)).when(
+            space > 0, F.log10(distinct / space)).otherwise(0.0)
+        state = state.select(
+            "gram", (F.col("logp") + F.when(F.col("done"), 0.0).otherwise(step)).alias("logp"),
+            (F.col("done") | hit).alias("done"), zero("excluded").alias("gone_n"),
+            zero("distinct").alias("gone_d"))
+    symbols = found[0].agg(F.count("*")).first()[0]  # 256 at most
+    return state.select("gram", F.when(F.col("done"), F.col("logp")).otherwise(
+        F.col("logp") - log10(256 - symbols) if symbols < 256 else F.col("logp")).alias("logp"))
 
 
 class _Table:
@@ -188,59 +204,74 @@ class _Table:
         return values, found
 
 
-def _block_of(grams, blocks):
-    """The block of grams, by the three bytes before the last."""
-    first = grams >> np.uint64(8) & np.uint64(0xFFFFFF)
-    return (first * np.uint64(2654435761) >> np.uint64(20)).astype(np.int64) % blocks
+def _frequent_grams(known, most):
+    """(least count, grams, logs): the strings with counts of 2 ** j up that are ``most`` at most."""
+    level = F.floor(F.log2("n")).cast("int")
+    sizes = dict(known.groupBy(level.alias("j")).count().collect())  # 64 rows at most
+    least = 0
+    for j in sorted(sizes, reverse=True):
+        most -= sizes[j]
+        if most < 0:
+            least = j + 1
+            break
+    found = known.filter(level >= least).select("gram", "logp").toArrow()
+    return (1 << least if least else 0, found.column("gram").to_numpy().astype(np.uint64),
+            found.column("logp").to_numpy())
+
+
+def _per_row(places, grams, ends):
+    """(row numbers, grams, counts): the grams at ``places``, each once per row."""
+    rows = np.searchsorted(ends, places, "right")
+    found = grams[places]
+    order = np.lexsort((found, rows))
+    rows, found = rows[order], found[order]
+    first = np.flatnonzero(np.concatenate(
+        [np.ones(min(1, len(rows)), bool), (np.diff(rows) != 0) | (np.diff(found) != 0)]))
+    return rows[first], found[first], np.diff(np.append(first, len(rows)))
 
 
-def _table(df, block=None, blocks=1):
-    """(grams, counts) of ``df``, or of one block of it."""
-    if blocks > 1 and block is not None:
-        first = F.expr("shiftright(gram, 8) & 16777215")
-        df = df.filter(F.call_function("shiftright", first * 2654435761, F.lit(20)) % blocks == block)
-    found = df.toArrow()
-    return (found.column("gram").to_numpy().astype(np.uint64),
-            found.column("n").to_numpy().astype(np.float64))
+_READ = "row long, doc_id long, symbols long, logs double, grams array<long>, counts array<long>"
 
 
 def score(docs, trie, trie_rows=TRIE_ROWS):
     """(row, doc_id, score) of each row of ``docs`` under the trie of ``train``."""
-    context = docs.sparkSession.sparkContext
-
-    def summed(symbols):
-        return trie.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * symbols) - 1)).alias("gram")
-                            ).agg(F.sum("n").alias("n"))
-
-    lowest = _table(summed(LOWEST))
-    blocks = max(1, ceil(trie.count() / trie_rows))
-    rows = placed_texts(docs)
-
-    def scored(block):
-        fewer = [_table(summed(n), block, blocks) for n in range(ORDER, LOWEST, -1)]
-        sent = context.broadcast([_table(trie, block, blocks), *fewer, lowest])
-
-        def scorer(batches):
-            model = None
-            for part, values in text_blocks(batches, BLOCK_BYTES):
-                model = model or Trie(sent.value)
-                grams, sizes = _grams(values)
-                logs, found = model.table.find(grams)
-                rest = np.flatnonzero(~found)
-                logs[rest] = model.log10(grams[rest])
-                if blocks > 1:
-                    logs[_block_of(grams, blocks) != block] = 0
-                sums = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), pa.array(sums)],
-                    names=["row", "doc_id", "score"])
-        return rows.mapInArrow(scorer, "row long, doc_id long, score double")
-
-    parts = [scored(b) for b in range(blocks)]
-    if blocks == 1:
-        return parts[0]
-    return reduce(DataFrame.unionAll, parts).groupBy("row", "doc_id").agg(
-        F.sum("score").alias("score"))
+    known = seen(trie)
+    least, grams, logs = _frequent_grams(known, trie_rows)
+    if not len(grams) and known.isEmpty():  # nothing was learned: all symbols are alike
+        lengths = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+        return placed_texts(docs).select("row", "doc_id", (lengths * -log10(256)).alias("score"))
+    sent = docs.sparkSession.sparkContext.broadcast((grams, logs))
+
+    def read(batches):
+        table = None
+        for block, values in text_blocks(batches, BLOCK_BYTES):
+            table = table or _Table(*sent.value)
+            symbols, total, rest = np.zeros(len(values), np.int64), np.zeros(len(values)), []
+            for here, sizes in _grams(values, BLOCK_BYTES):
+                found, there = table.find(here)
+                found[~there] = 0
+                ends = np.cumsum(sizes)
+                symbols += sizes
+                total += np.add.reduceat(found, ends - sizes)
+                rest.append(_per_row(np.flatnonzero(~there), here, ends))
+            rows, others, counts = (np.concatenate(x) for x in zip(*rest))
+            offsets = pa.array(np.searchsorted(rows, np.arange(len(values) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [block.column("row"), block.column("doc_id"), pa.array(symbols), pa.array(total),
+                 pa.ListArray.from_arrays(offsets, pa.array(others.astype(np.int64))),
+                 pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64)))],
+                names=["row", "doc_id", "symbols", "logs", "grams", "counts"])
+
+    rows = stored(placed_texts(docs).mapInArrow(read, _READ), "ppm_rows")
+    rare = rows.select("row", F.explode(F.arrays_zip("grams", "counts")).alias("x")).select(
+        "row", F.col("x.grams").alias("gram"), F.col("x.counts").alias("n"))
+    missing = stored(rare.select("gram").distinct().join(known, "gram", "left_anti"), "ppm_missing")
+    logp = known.filter(F.col("n") < least).select("gram", "logp").unionAll(
+        resolved(missing, levels(trie)))
+    sums = rare.join(logp, "gram").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("logp")).alias("rare_logs"))
+    return rows.join(sums, "row", "left").select(
+        "row", "doc_id", (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))).alias("score"))
 
 
 def words(text):
