@@ -1,6 +1,6 @@
 """What the operators of this folder share."""
 
-import json
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,8 +31,8 @@ def fresh(df, name):
 
 #: Plans whose every row is one row of a file.
 _OF_FILES = {"Project", "Filter", "SubqueryAlias"}
-#: Bits of a row's place in its file, below the number of the file.
-FILE_ROWS = 40
+#: The seed under which the files of a scan have names of their own, per scan.
+_SEEDS = WeakKeyDictionary()
 
 
 def placed(docs):
@@ -46,27 +46,47 @@ def placed(docs):
     return docs if of_files else stored(docs, "placed")
 
 
+def _seed(docs):
+    """The first seed under which no two files of ``docs`` give a row the same name.
+
+    A row is named by the hash of its file's path, xor its number in the file. Two files can
+    only share a name if their hashes agree in all bits above those of the largest row
+    number; Spark counts the files by these bits, from the files' footers."""
+    if docs not in _SEEDS:
+        found = docs.metadataColumn("_metadata")
+        files = cut(docs.select(found["file_path"].alias("path"), found["row_index"].alias("at"))
+                    .groupBy("path").agg(F.max("at").alias("last")))
+        bits = (files.agg(F.max("last")).first()[0] or 0).bit_length()
+        seed = 0
+        while not files.groupBy(F.shiftrightunsigned(F.xxhash64("path", F.lit(seed)), bits)).agg(
+                F.count("*").alias("n")).filter("n > 1").isEmpty():
+            seed += 1
+        _SEEDS[docs] = seed
+    return _SEEDS[docs]
+
+
 def numbered(docs):
-    """``docs`` with a column of each row's place, and that column's name.
+    """``docs`` with a column of each row's place, a long, and that column's name.
 
-    A place is the number of the file, by the order of their paths, and the row in that file. It
-    does not depend on how a scan is split, so places of one scan hold in another."""
+    A place is made of the file and the row in it. It does not depend on how a scan is split,
+    so places of one scan hold in another, and no list of files is gathered for it."""
     docs = placed(docs)
-    spark, name = docs.sparkSession, fresh(docs, "row_in_scan")
-    path, number = fresh(docs, "path_of_file"), fresh(docs, "number_of_file")
-    jvm = spark._jvm
-    path_of = jvm.org.apache.hadoop.fs.Path
-    # Spelt as the scan does, which escapes less than the list of files.
-    paths = sorted(path_of(path_of(jvm.java.net.URI(p)).toString()).toUri().toString()
-                   for p in docs.inputFiles())
-    files = spark.range(1).select(F.posexplode(
-        F.from_json(F.lit(json.dumps(paths)), "array<string>")).alias(number, path))
-    found = docs.metadataColumn("_metadata")
-    rows = docs.select("*", found["file_path"].alias(path), found["row_index"].alias(name))
-    known = F.coalesce(F.col(number), F.raise_error(F.concat(F.lit("no such file: "), path)))
-    return rows.join(F.broadcast(files), path, "left").withColumn(name, F.call_function(
-        "shiftleft", known.cast("long"), F.lit(FILE_ROWS)).bitwiseOR(F.col(name))).select(
-        *[f"`{c.replace('`', '``')}`" for c in docs.columns], name), name
+    name, found = fresh(docs, "row_in_scan"), docs.metadataColumn("_metadata")
+    place = F.xxhash64(found["file_path"], F.lit(_seed(docs))).bitwiseXOR(found["row_index"])
+    return docs.select("*", place.alias(name)), name
+
+
+def met(rows, groups, key, size):
+    """``rows`` joined to ``groups``, which has a row per ``key`` and in ``size`` how many of ``rows``
+    have it.
+
+    A key that more than a thousandth of these rows have is looked up in a broadcast table,
+    which cannot have a thousand keys, so no key brings a large share of the rows to one task."""
+    many = (groups.agg(F.sum(size)).first()[0] or 0) // 1000
+    heavy = cut(groups.filter(F.col(size) > many))
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(heavy), key).unionByName(
+        rest.join(groups.filter(F.col(size) <= many), key))
 
 
 def placed_texts(docs, *more):

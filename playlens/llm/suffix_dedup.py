@@ -16,8 +16,10 @@ about one in seventy; consecutive starts with one anchor are a run.
   of the range share; parts with an undecided member and another one are refined over the
   halves of the range with what the parting has given.
 
-Counting, joining and grouping are Spark's. Groups are counted with map-side sums and joined
-back, where the skew join splits a passage that a third of all documents hold; only buckets of
+Counting, joining and grouping are Spark's. Equal runs are counted with map-side sums, and the
+count of a run that a thousandth of all have is looked up in a bounded broadcast table; only
+distinct runs are put into buckets, so a passage that a third of all documents hold is a few
+rows of its bucket. Only buckets of
 at most ``GROUP`` undecided runs and witnesses are refined in a task, larger ones by counting
 the digests of all their strings. Texts are read three times and only those with a place that
 may be repeated are shuffled: a bitmap of ``MAP_BITS`` bits over row numbers, which errs on the
@@ -44,7 +46,8 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
-from playlens.llm.common import fresh, numbered, placed, placed_texts, slices, stored, text_blocks
+from playlens.llm.common import (
+    fresh, met, numbered, placed, placed_texts, slices, stored, text_blocks)
 
 LENGTH = 400
 #: Words of the shortest repeated passage, and bytes of a word's hash.
@@ -260,22 +263,22 @@ def repeated(docs, length=LENGTH, unit=1):
         "row", "text").mapInArrow(
             lambda batches: _anchored(batches, length, unit), "row long, at long, n int, ahead int, gram long, around binary"),
         "suffix_anchors")
-    shared = found.groupBy("gram").count().filter("count > 1").select("gram")
-    kept = stored(found.join(shared, "gram"), "suffix_buckets")
-    sizes = kept.groupBy("around").agg(
-        F.count("row").alias("copies"), F.min(F.struct("row", "at")).alias("first"))
-    kept = stored(kept.join(sizes, "around").select(
-        "gram", "row", "at", "n", "ahead", (F.col("copies") == 1).alias("open"),
-        (F.struct("row", "at") == F.col("first")).alias("witness")), "suffix_runs")
-    whole = kept.filter("NOT open").select("row", "at", "n")
+    # Equal runs are one pair of gram and identifier, with the first of them as witness; so a
+    # passage that very many texts hold is a few pairs in its bucket.
+    pairs = stored(found.groupBy("gram", "around").agg(
+        F.count("row").alias("copies"), F.min(F.struct("row", "at", "n", "ahead")).alias("first")),
+        "suffix_pairs")
+    twice = pairs.filter("copies > 1").select("around", "copies")
+    whole = met(found.select("around", "row", "at", "n"), twice, "around", "copies").select(
+        "row", "at", "n")
 
     # Undecided runs, and one of each set of equal runs from their buckets.
-    undecided = kept.filter("open").groupBy("gram").count().select("gram")
-    members = kept.filter("witness").join(undecided, "gram")
-    counts = members.groupBy("gram").count()
-    members = members.join(counts, "gram").select(
-        "row", F.struct("gram", "at", "n", "ahead", "open",
-                        (F.col("count") > GROUP).alias("big")).alias("w"))
+    open_ = F.col("copies") == 1
+    buckets = pairs.groupBy("gram").agg(F.count("*").alias("pairs"), F.count_if(open_).alias("open"))
+    buckets = buckets.filter("open > 0 AND pairs > 1").drop("open")
+    members = pairs.join(buckets, "gram").select(
+        "first.row", F.struct("gram", "first.at", "first.n", "first.ahead", open_.alias("open"),
+                              (F.col("pairs") > GROUP).alias("big")).alias("w"))
     wanted = stored(members.groupBy("row").agg(F.collect_list("w").alias("wanted")),
                     "suffix_wanted")
     marked = _marked(spark, wanted)

@@ -38,8 +38,8 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import functions as F
 
-from playlens.llm.common import cut, numbered, placed, stored, text_blocks
-from playlens.session import work_dir
+from playlens.llm.common import met, numbered, placed, stored, text_blocks
+from playlens.session import temporary_dir, work_dir
 
 FILE_BYTES, BLOCK_BYTES, CHUNK = 32 << 20, 4 << 20, 1 << 20
 #: Records read by one call of the reader; a larger archive is read by several.
@@ -68,12 +68,7 @@ def planned(pages, key="page_id", payload="html", address="url", least_bytes=0):
         F.count("*").alias("n"),
         F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "row")).alias("first"),
     ).filter("n > 1"), "warc_groups")
-    # A payload with more than a thousandth of all rows is looked up in a broadcast table, which
-    # cannot have a thousand of them; its rows are not brought together.
-    many = F.lit(max(1, names.count() // 1000))
-    heavy = F.broadcast(cut(groups.filter(F.col("n") > many)))
-    copies = names.join(heavy, "digest").unionByName(
-        names.join(heavy, "digest", "left_anti").join(groups.filter(F.col("n") <= many), "digest"))
+    copies = met(names, groups, "digest", "n")
     revisits = copies.filter(F.col("row") != F.col("first.row")).select(
         "row", F.col("first.row").alias("refers_to_row"),
         F.col("first.page_id").alias("refers_to"))
@@ -334,6 +329,7 @@ def digests(pages):
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each page, read back
     from archives that were written and normalised."""
     spark = pages.sparkSession
-    monolithic, normal = work_dir(spark, "warc"), work_dir(spark, "warc_normal")
-    files = normalise(write(planned(pages), monolithic), monolithic, normal)
+    normal = work_dir(spark, "warc_normal")
+    with temporary_dir(spark, "warc") as monolithic:
+        files = normalise(write(planned(pages), monolithic), monolithic, normal)
     return read(files, normal, payloads=False).drop("url", "payload")
