@@ -6,13 +6,18 @@ risk of the negatives is that of the unlabelled less ``prior`` times that of the
 taken as negatives; where this estimate falls below zero, the step goes the other way, so
 that the classifier cannot profit from fitting the positives out of the unlabelled (Kiryo
 et al., 2017). The prior is the toxic share of the labelled training rows. Only words get a
-weight whose share of documents differs between the two samples by ``EVIDENCE`` standard
-errors or more, so a long text does not gather noise.
+weight whose share of documents differs between the positive and all texts by ``EVIDENCE``
+standard errors and by ``RATIO`` times or more, so a long text does not gather noise.
 
-Bounds: training takes at most ``POSITIVES`` and ``UNLABELLED`` documents, those whose ids
-have the smallest hashes; they must be in the training fold. The prior is counted over all
-labelled training rows, and every whole text is scored. Labels, language, source and ids
-are no inputs of a score.
+These shares are counted by Spark over all texts of the training fold and all positives in it,
+so the evidence for a rare word grows with the corpus. A telling word that the sample of
+positives does not hold, and no step could move, starts at the log of the ratio of its shares
+in the positives and, corrected by the prior, in the negatives.
+
+Bounds: the steps run over at most ``POSITIVES`` and ``UNLABELLED`` documents, those whose ids
+have the smallest hashes; they must be in the training fold. Prior and shares cover all
+training rows, in ``SLOTS`` counts a task, and every whole text is scored. Labels, language,
+source and ids are no inputs of a score.
 
 Defined results: null and empty texts have no words and get the score of the intercept.
 Without a positive example every score is the prior, 0 without any label. A document with
@@ -26,12 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from playlens.llm.common import bucket, cut, text_blocks, texts
+from playlens.llm.common import bitmap, bucket, cut, has_bit, text_blocks, texts
 
 FOLDS = 5
 POSITIVES, UNLABELLED = 2000, 16_000
 SLOTS = 1 << 18
-ROUNDS, STEP, BELOW, EVIDENCE = 200, 1.0, 0.0, 5.0
+ROUNDS, STEP, BELOW, EVIDENCE, RATIO = 200, 1.0, 0.0, 5.0, 1.25
+#: Bits of the map of labelled ids that spares other texts a shuffle; it errs on the safe side.
+MAP_BITS = 1 << 19
 BLOCK_BYTES = 8 << 20
 REMEMBERED = 1_000_000
 
@@ -61,14 +68,53 @@ def _features(batches):
             names=["toxic", "slots"])
 
 
+def _frequencies(batches):
+    slots, texts_seen, counts = _Slots().__getitem__, 0, np.zeros(SLOTS, np.int64)
+    for _, values in text_blocks(batches, BLOCK_BYTES):
+        texts_seen += len(values)
+        for value in values:
+            counts[list(set(map(slots, set(words(value)))))] += 1
+    held = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays(  # -1 stands for the number of texts
+        [pa.array(np.append(held, -1)), pa.array(np.append(counts[held], texts_seen))],
+        names=["slot", "n"])
+
+
+def frequencies(rows):
+    """(texts, per slot the texts that have it) of all ``rows``, counted by Spark."""
+    found = rows.select("text").mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(
+        F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
+    slots, n = found.column("slot").to_numpy(), found.column("n").to_numpy()
+    counts = np.zeros(SLOTS)
+    counts[slots[slots >= 0]] = n[slots >= 0]
+    return float(n[slots < 0].sum()), counts
+
+
+def _labelled(labels):
+    """(doc_id, toxic) of the labelled ids in the training fold."""
+    return (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+            .filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+            .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+            .filter(bucket(F.col("doc_id"), FOLDS) != 0))
+
+
+def _training(docs):
+    return texts(docs).filter(bucket(F.col("doc_id"), FOLDS) != 0)
+
+
+def shares(docs, labels):
+    """``frequencies`` of all positives and of all texts in the training fold."""
+    positives = _labelled(labels).filter("toxic = 1").select("doc_id")
+    train, place = _training(docs), F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    near = train.filter(has_bit(bitmap(positives.select(place), MAP_BITS), place))
+    return frequencies(near.join(positives, "doc_id", "left_semi")), frequencies(train)
+
+
 def samples(docs, labels):
     """(toxic, slots) rows of the two training samples, and the class prior."""
-    known = (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-             .filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-             .filter(bucket(F.col("doc_id"), FOLDS) != 0))
+    known = _labelled(labels)
     prior = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    train = texts(docs).filter(bucket(F.col("doc_id"), FOLDS) != 0)
+    train = _training(docs)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
 
     def smallest(ids, n, toxic):
@@ -102,23 +148,36 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _telling(p, u):
-    """The slots whose shares of documents differ between the samples beyond chance."""
-    a, b = np.bincount(p.slots, minlength=SLOTS), np.bincount(u.slots, minlength=SLOTS)
-    share = (a + b + 1) / (p.n + u.n + 2)
-    error = np.sqrt(share * (1 - share) * (1 / p.n + 1 / u.n))
-    return np.abs(a / p.n - b / u.n) >= EVIDENCE * error
+def telling(positives, everything):
+    """The slots whose shares of texts differ between the two ``frequencies`` beyond chance."""
+    (n, a), (m, b) = positives, everything
+    share = (a + b + 1) / (n + m + 2)
+    error = np.sqrt(share * (1 - share) * (1 / n + 1 / m))
+    p, u = a / n, b / m
+    return (np.abs(p - u) >= EVIDENCE * error) & (np.maximum(p, u) >= RATIO * np.minimum(p, u))
+
+
+def _by_share(positives, everything, prior):
+    """Log ratios of the shares of slots in the positives and the negatives, one more text each."""
+    (n, a), (m, b) = positives, everything
+    p, u = (a + 1) / (n + 2), (b + 1) / (m + 2)
+    return np.log(p / np.maximum((u - prior * p) / (1 - prior), 1 / (m + 2)))
+
 
+def train(positive, unlabelled, prior, counts):
+    """(weights, intercept) that lower the non-negative risk under the logistic loss.
 
-def train(positive, unlabelled, prior):
-    """(weights, intercept) that lower the non-negative risk under the logistic loss."""
+    ``counts`` are the ``shares`` of the whole training fold."""
     weights = np.zeros(SLOTS)
     start = np.clip(prior, 1e-3, 1 - 1e-3)
     intercept = float(np.log(start / (1 - start)))
     if not positive or not unlabelled or not prior:
         return weights, intercept if prior else -np.inf
     p, u = _Rows(positive), _Rows(unlabelled)
-    used = _telling(p, u)
+    used = telling(*counts)
+    if prior < 1:
+        unseen = used & (np.bincount(p.slots, minlength=SLOTS) == 0)
+        weights = np.where(unseen, np.maximum(_by_share(*counts, prior), 0), 0)
     # Adaptive steps: slots that are rarely seen still move.
     seen, seen_0 = np.full(SLOTS, 1e-12), 1e-12
     for _ in range(ROUNDS):
@@ -146,7 +205,7 @@ def fit(docs, labels):
     toxic = np.array(found.column("toxic").to_pylist(), bool)
     lists = found.column("slots").combine_chunks()
     pick = lambda which: [lists[int(i)].values.to_numpy() for i in np.flatnonzero(which)]
-    return train(pick(toxic), pick(~toxic), prior)
+    return train(pick(toxic), pick(~toxic), prior, shares(docs, labels))
 
 
 def score(docs, model):

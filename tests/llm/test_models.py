@@ -196,6 +196,39 @@ def test_toxicity_ignores_held_out_labels(spark, documents):
     assert values(toxicity.classify(docs, first)) == values(toxicity.classify(docs, second))
 
 
+def test_shares_are_counted_over_all_training_rows(spark, documents, monkeypatch):
+    rows = [(i, prose(i, 12) + (" moron" if i % 3 == 0 else "")) for i in range(90)]
+    rows += [(5, "moron moron x"), (None, None), (None, "a b"), (91, "")]
+    marks = [(i, int(i % 3 == 0), "x") for i in range(0, 60)] + [(None, 1, "x"), (500, 1, "x")]
+    got = toxicity.shares(documents(*rows), labelled(spark, marks, "toxic"))
+    train = [(d, t) for d, t in rows if crc32(str("" if d is None else d).encode()) % 5]
+    bad = {d for d, toxic, _ in marks if toxic and d is not None}
+    for (n, counts), kept in zip(got, ([t for d, t in train if d in bad], [t for _, t in train])):
+        want = Counter(s for t in kept for s in {
+            crc32(w) % toxicity.SLOTS for w in toxicity.words((t or "").encode())})
+        assert n == len(kept) and {s: int(c) for s, c in enumerate(counts) if c} == want
+
+
+def test_a_rare_toxic_word_gets_its_weight_from_the_whole_fold():
+    """Its share is too small for the sample of the steps, but not for the corpus."""
+    common, rare, n, m = 7, 11, 1e6, 1e8
+    a, b = np.zeros(toxicity.SLOTS), np.zeros(toxicity.SLOTS)
+    a[common], b[common], a[rare], b[rare], b[13] = 9e5, 2e6, 900.0, 950.0, 5e7
+    a[13] = 5e5
+    weights, _ = toxicity.train([[common]] * 40, [[common]] * 2 + [[13]] * 98, 0.02, ((n, a), (m, b)))
+    assert weights[common] > 1 and weights[rare] > 1 and weights[13] == 0
+    few = (40.0, a * 40 / n), (100.0, b * 100 / m)
+    assert toxicity.train([[common]] * 40, [[13]] * 100, 0.02, few)[0][rare] == 0
+
+
+def test_toxicity_of_a_very_long_text(spark, documents):
+    docs = documents(*[(i, prose(i, 30) + (" moron" if i % 4 == 0 else "")) for i in range(200)],
+                     (900, prose(1, 60_000)), (901, prose(2, 60_000) + " moron"))
+    labels = labelled(spark, [(i, int(i % 4 == 0), "x") for i in range(200)], "toxic")
+    found = {r.doc_id: r.predicted for r in toxicity.classify(docs, labels).collect()}
+    assert (found[900], found[901]) == (0, 1)
+
+
 def test_toxicity_without_examples(spark, documents):
     docs = documents("a", None)
     none = labelled(spark, [], "toxic")
