@@ -7,7 +7,11 @@ the host for a path) and whose weight is estimated from the spread between sites
 method of moments. A site's posterior mean moves from the level above towards its own mean
 with the number of its documents, so sparse sites stay near what stands above them. A
 document's score adds to its own log odds the log odds of its path relative to those of all
-documents. A document is kept at a score of one half or more.
+documents; its own evidence is left out of path, host and all there, so that it counts once,
+however sparse its site. A document is kept at a score of one half or more.
+
+Host and path are those of a ``url`` column where there is one, the path being its first
+segment; else the source is taken for the host and the language for the path.
 
 Sites are summed up by grouped aggregates with map-side sums, so a host with a third of all
 rows costs no more than another. The text is read once, and what is stored and shuffled are
@@ -143,37 +147,60 @@ def _weight(sites, mean):
 
 
 def posteriors(scored):
-    """(host, path, host_posterior, path_posterior) of every site, and the overall mean."""
+    """(sites, whole): per site n, s (documents, summed evidence), host_n, host_s and the posteriors
+    host_posterior and path_posterior; of all documents n, s, mean and the priors' weights."""
     paths = stored(scored.groupBy("host", "path").agg(
         F.count("p").alias("n"), F.sum("p").alias("s")), "quality_sites")
-    whole = paths.agg(F.sum("s"), F.sum("n")).first()
-    mean = whole[0] / whole[1] if whole[1] else 0.5
+    s, n = paths.agg(F.sum("s"), F.sum("n")).first()
+    mean = s / n if n else 0.5
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    k = _weight(hosts, F.lit(mean))
-    hosts = hosts.select("host", ((F.col("s") + k * mean) / (F.col("n") + k)).alias(
-        "host_posterior"))
+    of_hosts = _weight(hosts, F.lit(mean))
+    hosts = hosts.select("host", F.col("n").alias("host_n"), F.col("s").alias("host_s"), (
+        (F.col("s") + of_hosts * mean) / (F.col("n") + of_hosts)).alias("host_posterior"))
     sites = (paths.alias("paths").join(hosts.alias("hosts"), F.expr("paths.host <=> hosts.host"))
-             .select("paths.*", "host_posterior"))
-    k = _weight(sites, F.col("host_posterior"))
-    return sites.select("host", "path", "host_posterior", (
-        (F.col("s") + k * F.col("host_posterior")) / (F.col("n") + k)).alias("path_posterior")
-    ), mean
+             .select("paths.*", "host_n", "host_s", "host_posterior"))
+    of_paths = _weight(sites, F.col("host_posterior"))
+    sites = sites.withColumn("path_posterior", (
+        F.col("s") + of_paths * F.col("host_posterior")) / (F.col("n") + of_paths))
+    return sites, {"n": n or 0, "s": s or 0.0, "mean": mean, "hosts": of_hosts, "paths": of_paths}
+
+
+def without_own(whole):
+    """Columns for a document with evidence ``p`` and its site's sums: the mean and the posteriors of
+    host and path that all other documents give."""
+    p = F.col("p")
+    mean = (whole["s"] - p) / (whole["n"] - 1) if whole["n"] > 1 else F.lit(0.5)
+    host = (F.col("host_s") - p + whole["hosts"] * mean) / (F.col("host_n") - 1 + whole["hosts"])
+    path = (F.col("s") - p + whole["paths"] * host) / (F.col("n") - 1 + whole["paths"])
+    return [F.greatest(F.lit(LEAST), F.least(F.lit(MOST), c)).alias(name) for c, name in (
+        (mean, "mean"), (host, "host_posterior"), (path, "path_posterior"))]
+
+
+def site_of(url):
+    """(host, path) columns of a column of addresses: the host, and the first segment of the path."""
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:]*)", 1))
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]*)", 1)
+    return host, path
 
 
 def classify(docs, labels, host=None, path=None):
     """row, doc_id, host, path, evidence, host_posterior, path_posterior, score, keep.
 
-    ``host`` and ``path`` are columns of ``docs``: by default its source and language."""
+    ``host`` and ``path`` are columns of ``docs`` that name a document's site; the posteriors are
+    those that all other documents give."""
+    if host is None and path is None and "url" in docs.columns:
+        host, path = site_of(F.col("url"))
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
     rows = described(docs, host, path)
     scored = evidence(rows, fit(rows, labels))
-    sites, mean = posteriors(scored)
+    sites, whole = posteriors(scored)
     odds = lambda p: F.log(p / (1 - p))
     joined = scored.alias("d").join(
-        sites.alias("s"), F.expr("d.host <=> s.host AND d.path <=> s.path")).select(
-        "d.*", "host_posterior", "path_posterior")
-    total = odds(F.col("p")) + odds(F.col("path_posterior")) - odds(F.lit(mean))
+        sites.drop("host_posterior", "path_posterior").alias("s"),
+        F.expr("d.host <=> s.host AND d.path <=> s.path")).select(
+        "d.*", *without_own(whole))
+    total = odds(F.col("p")) + odds(F.col("path_posterior")) - odds(F.col("mean"))
     return joined.select(
         "row", "doc_id", "host", "path", F.col("p").alias("evidence"), "host_posterior",
         "path_posterior", (1 / (1 + F.exp(-total))).alias("score"), (total >= 0).alias("keep"))

@@ -156,13 +156,80 @@ def test_quality_tells_loud_text_from_prose(spark, documents):
 def test_sparse_sites_shrink_to_the_level_above(spark):
     rows = [("big", "a", 0.9)] * 400 + [("big", "b", 0.2)] * 300 + [("bad", "a", 0.05)] * 200
     rows += [("tiny", "a", 0.05), (None, None, 0.5), ("big", "c", 0.1)]
-    found, mean = quality.posteriors(spark.createDataFrame(rows, "host string, path string, p double"))
+    found, whole = quality.posteriors(spark.createDataFrame(rows, "host string, path string, p double"))
+    mean = whole["mean"]
     at = {(r.host, r.path): r for r in found.collect()}
     assert len(at) == 6
     assert at["bad", "a"].host_posterior < 0.1 < at["tiny", "a"].host_posterior < mean
     assert at["big", "b"].path_posterior < at["big", "c"].path_posterior < at["big", "a"].path_posterior
 
 
+def plain_scores_of_sites(rows):
+    """(score, host posterior, path posterior) of (host, path, evidence) rows, each from all others."""
+    def weight(sites):
+        total = sum(n for n, _, _ in sites)
+        squares = sum(n * (s / n - a) ** 2 for n, s, a in sites)
+        noises = sum(a * (1 - a) for _, _, a in sites)
+        inner = sum(n * a * (1 - a) for n, _, a in sites)
+        between = (squares - noises) / total if len(sites) > 1 else 0
+        return 1e6 if between <= 0 else min(1e6, max(1.0, inner / total / between - 1))
+
+    def sums(keys):
+        found = defaultdict(lambda: [0, 0.0])
+        for key, (_, _, p) in zip(keys, rows):
+            found[key][0] += 1
+            found[key][1] += p
+        return found
+
+    mean = sum(p for _, _, p in rows) / len(rows)
+    hosts, paths = sums([r[0] for r in rows]), sums([r[:2] for r in rows])
+    k = weight([(n, s, mean) for n, s in hosts.values()])
+    above = {h: (s + k * mean) / (n + k) for h, (n, s) in hosts.items()}
+    m = weight([(n, s, above[h]) for (h, _), (n, s) in paths.items()])
+    odds = lambda x: math.log(x / (1 - x))
+    for h, path, p in rows:
+        rest = (mean * len(rows) - p) / (len(rows) - 1)
+        n, s = hosts[h]
+        host = (s - p + k * rest) / (n - 1 + k)
+        n, s = paths[h, path]
+        own = (s - p + m * host) / (n - 1 + m)
+        yield 1 / (1 + math.exp(-(odds(p) + odds(own) - odds(rest)))), host, own
+
+
+def test_scores_of_sites_leave_the_own_document_out(spark, documents):
+    pick = random.Random(8)
+    rows = [(i, prose(i, 60) if pick.random() < 0.3 + 0.1 * (i % 5) else
+             prose(i, 60).upper().replace(" ", "!! ")) for i in range(120)]
+    docs = documents(*rows).withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 3)).withColumn(
+        "source", F.when(F.col("doc_id") == 119, "sole").when(F.col("doc_id") % 5 < 4, F.concat(
+            F.lit("s"), F.col("doc_id") % 5)))  # every fifth has no host
+    labels = labelled(spark, [(i, int(t != t.upper()), "x") for i, t in rows[:80]], "quality")
+    out = sorted(quality.classify(docs, labels).collect(), key=lambda r: r.doc_id)
+    want = plain_scores_of_sites([(r.host, r.path, r.evidence) for r in out])
+    for r, w in zip(out, want, strict=True):
+        assert np.allclose((r.score, r.host_posterior, r.path_posterior), w, atol=1e-9)
+        assert r.keep == (r.score >= 0.5)
+
+
+def test_sites_of_addresses(spark, documents):
+    urls = ["http://A.example.com/fr/825?x=1", "https://b.org", "https://b.org:80/#top", "nothing", None]
+    docs = documents(*["a b c"] * 5).withColumn("url", F.element_at(
+        F.array(*[F.lit(u) for u in urls]), (F.col("doc_id") + 1).cast("int")))
+    out = quality.classify(docs, labelled(spark, [], "quality")).collect()
+    assert [(r.host, r.path) for r in sorted(out, key=lambda r: r.doc_id)] == [
+        ("a.example.com", "fr"), ("b.org", ""), ("b.org", ""), ("", ""), (None, None)]
+
+
+def test_quality_of_a_very_long_text(spark, documents):
+    sizes = [20, 50, 300, 2000]
+    docs = documents((0, prose(0, 60_000)), *[(i, prose(i, sizes[i % 4])) for i in range(1, 20)],
+                     *[(i, prose(i, sizes[i % 4]).upper().replace(" ", "!! "))
+                       for i in range(20, 40)])
+    labels = labelled(spark, [(i, int(i < 20), "x") for i in range(1, 40)], "quality")
+    found = {r.doc_id: r.keep for r in quality.classify(docs, labels).collect()}
+    assert found[0] and not found[30]
+
+
 def test_quality_without_labels_keeps_all(spark, documents):
     docs = documents("a b", None, "C")
     none = labelled(spark, [], "quality")
