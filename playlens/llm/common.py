@@ -76,17 +76,17 @@ def numbered(docs):
     return docs.select("*", place.alias(name)), name
 
 
-def met(rows, groups, key, size):
+def met(rows, groups, key, size, how="inner"):
     """``rows`` joined to ``groups``, which has a row per ``key`` and in ``size`` how many of ``rows``
-    have it.
+    have it. ``how`` is inner or left_semi.
 
     A key that more than a thousandth of these rows have is looked up in a broadcast table,
     which cannot have a thousand keys, so no key brings a large share of the rows to one task."""
     many = (groups.agg(F.sum(size)).first()[0] or 0) // 1000
     heavy = cut(groups.filter(F.col(size) > many))
     rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(heavy), key).unionByName(
-        rest.join(groups.filter(F.col(size) <= many), key))
+    return rows.join(F.broadcast(heavy), key, how).unionByName(
+        rest.join(groups.filter(F.col(size) <= many), key, how))
 
 
 def placed_texts(docs, *more):

@@ -269,8 +269,8 @@ def repeated(docs, length=LENGTH, unit=1):
         F.count("row").alias("copies"), F.min(F.struct("row", "at", "n", "ahead")).alias("first")),
         "suffix_pairs")
     twice = pairs.filter("copies > 1").select("around", "copies")
-    whole = met(found.select("around", "row", "at", "n"), twice, "around", "copies").select(
-        "row", "at", "n")
+    whole = met(found.select("around", "row", "at", "n"), twice, "around", "copies",
+                "left_semi").select("row", "at", "n")
 
     # Undecided runs, and one of each set of equal runs from their buckets.
     open_ = F.col("copies") == 1
