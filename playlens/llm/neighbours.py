@@ -55,29 +55,30 @@ class Block:
         self.axes = np.random.default_rng(SEED).standard_normal((x.shape[1] + 1, PROJECTIONS))
         places = (np.c_[x, rest] @ self.axes).T
         order = np.argsort(places, axis=1, kind="stable")
-        # A vector's rank in each array; the arrays stand one after another, a gap between them.
-        self.kind = np.uint16 if len(ids) < 1 << 16 else np.uint32
-        self.ranks = np.empty(order.shape, self.kind)
-        np.put_along_axis(self.ranks, order, np.arange(len(ids), dtype=self.kind)[None], axis=1)
+        # The arrays stand one after another, a gap between them; ``order`` is the vector at each place.
+        self.order = order.ravel().astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
         self.gap = 4 * (np.abs(places).max(initial=0) + norm * np.abs(self.axes).max() * 64)
         self.shift = np.arange(PROJECTIONS) * self.gap
         self.arrays = (np.take_along_axis(places, order, axis=1) + self.shift[:, None]).ravel()
-        self.begins = np.arange(PROJECTIONS) * len(ids)
 
     def candidates(self, query, k):
-        """The vectors that collide with ``query`` often enough to be verified."""
+        """The vectors that collide with ``query`` often enough to be verified.
+
+        Each widening visits only the places that the window did not hold before."""
         n = len(self.ids)
         enough = min(n, max(k + 1, LEAST, ceil(VERIFIED * n)))
         centre = query * (self.norm / np.sqrt((query ** 2).sum())) @ self.axes[:-1] + self.shift
         width = WIDTH * self.norm
+        low = high = np.searchsorted(self.arrays, centre)
+        counts = np.zeros(n, np.int64)
         while True:
             width = min(width, self.gap / 4)
-            low = np.searchsorted(self.arrays, centre - width) - self.begins
-            high = np.searchsorted(self.arrays, centre + width, "right") - self.begins
-            # Unsigned: ranks below the window wrap around and are beyond its size.
-            inside = (self.ranks - low.astype(self.kind)[:, None]
-                      < (high - low).astype(self.kind)[:, None])
-            counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+            wider_low = np.searchsorted(self.arrays, centre - width)
+            wider_high = np.searchsorted(self.arrays, centre + width, "right")
+            bounds = zip(np.r_[wider_low, high].tolist(), np.r_[low, wider_high].tolist())
+            met = np.concatenate([self.order[a:b] for a, b in bounds])
+            counts += np.bincount(met, minlength=n)
+            low, high = wider_low, wider_high
             found = np.flatnonzero(counts >= THRESHOLD * PROJECTIONS)
             if len(found) >= enough:
                 return found
