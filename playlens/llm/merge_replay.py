@@ -1,34 +1,42 @@
-"""Byte-level BPE by merge replay, and its decoding.
-
-Texts are cut by ``public_tokenizers.PATTERN``; every match is a word. A task takes its
-documents in blocks of ``BLOCK_BYTES`` and gathers the distinct words that it has not yet
-encoded. Over all these words an inverted index holds, for each rank, the places of the
-token pairs that join to the token of that rank. The ranks are replayed in ascending
-order; a merge touches its two neighbours only, whose new pairs go into the index. Words
-are independent, so the block in which a word is met does not change its ids; nothing is
-shuffled and no key can be hot. What is remembered from block to block is bounded by
-``REMEMBERED`` pieces.
-
-Defined results: null and empty texts have no ids and decode to no bytes. Every row gives
-one row, repeated and null ``doc_id`` included. Other columns are ignored.
+"""Byte-level BPE by merge replay over the words of the whole corpus, and its decoding.
+
+Texts are cut by ``public_tokenizers.PATTERN``; every match is a word. One scan cuts the
+documents, in blocks of ``BLOCK_BYTES``, into the words that are new in the block and the
+documents as numbers of these words; both are written once. All (block, word) rows are then
+shuffled and sorted by word, so that each distinct word of the corpus is met in one place. Over
+the distinct words of a run of ``REPLAY_BYTES`` an inverted index holds, for each rank, the
+places of the token pairs that join to the token of that rank. The ranks are replayed in
+ascending order; a merge touches its two neighbours only, whose new pairs go into the index.
+So a word is replayed once, however many documents have it (but for the one at which a run is
+cut). The ids go back to the blocks by a second shuffle, where the numbers are replaced.
+
+A block names a word once, so a word that stands everywhere has one row per block, whatever
+its number of places; runs and blocks bound what a task holds, and neither shuffle gathers
+a key beyond them.
+
+Defined results: null and empty texts have no ids and decode to no bytes. A text longer than
+a block is a block of its own. Every row gives one row, repeated and null ``doc_id`` included;
+an empty table gives no rows. Other columns are ignored.
 """
 
 import base64
 from heapq import heappop, heappush
-from itertools import count
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
-from playlens.llm.common import text_blocks, texts
-from playlens.llm.pieces import Lexicon, gathered
+from playlens.llm.common import stored, text_blocks, texts
+from playlens.llm.pieces import Places, gathered, keys
 
 RANKS = "byte_bpe_50k.tiktoken"
 BLOCK_BYTES = 4 << 20
-REMEMBERED = 250_000
+REPLAY_BYTES = 2 << 20
+_BLOCKS = "doc_ids array<long>, sizes array<int>, numbers array<int>, words array<string>"
 
 
 def read_ranks(name=RANKS):
@@ -107,34 +115,88 @@ class Replay:
                 heappush(ready, rank)
 
 
-def _encoder(path):
-    def encode(batches):
-        replay, pattern = Replay(read_ranks(path)), regex.compile(public_tokenizers.PATTERN)
-
-        def pieces(new):
-            cut = [pattern.findall(p) for p in new]
-            numbers = dict(zip(dict.fromkeys(w for ws in cut for w in ws), count()))
-            ids, sizes = replay.encode([w.encode() for w in numbers])
-            used = np.fromiter((numbers[w] for ws in cut for w in ws), np.int64)
-            starts = np.cumsum(sizes) - sizes
-            ids, sizes = gathered(ids, starts[used], sizes[used])
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            return ids, np.diff(ends[np.cumsum([0, *map(len, cut)])])
-
-        lexicon = Lexicon(pieces, REMEMBERED)
-        for block, values in text_blocks(batches, BLOCK_BYTES):
-            ids, sizes = lexicon.flat([v.decode() for v in values])
-            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids))
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), lists.cast(pa.list_(pa.int32()))],
-                names=["doc_id", "ids"])
-    return encode
+def _ends(sizes):
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _lists(ends, values):
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _cut(batches):
+    """A row per block: its documents, how many words each has, their words as numbers in
+    the order of first use, and the distinct words in that order."""
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    for block, values in text_blocks(batches, BLOCK_BYTES):
+        pieces, words = Places(), Places()
+        used = [np.fromiter(map(pieces.__getitem__, keys(v.decode())), np.int64) for v in values]
+        cut = [list(map(words.__getitem__, pattern.findall(
+            k[0] if type(k) is tuple else " " + k))) for k in pieces]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        flat = np.fromiter(chain.from_iterable(cut), np.int32)
+        bounds, used = _ends(list(map(len, used))), np.concatenate(used)
+        numbers, lengths = gathered(flat, (np.cumsum(sizes) - sizes)[used], sizes[used])
+        counts = np.diff(_ends(lengths)[bounds]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [_lists([0, len(values)], block.column("doc_id")), _lists([0, len(values)], counts),
+             _lists([0, len(numbers)], numbers),
+             _lists([0, len(words)], pa.array(list(words), pa.string()))],
+            names=["doc_ids", "sizes", "numbers", "words"])
+
+
+def _runs(batches, limit):
+    """Tables of following batches with at least ``limit`` bytes of words, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column("word"))).as_py() or 0
+        if size >= limit:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _replayer(path):
+    def replayed(batches):
+        replay = Replay(read_ranks(path))
+        for run in _runs(batches, REPLAY_BYTES):
+            word = pc.dictionary_encode(run["word"].combine_chunks())
+            if isinstance(word, pa.ChunkedArray):
+                word = word.combine_chunks()
+            ids, sizes = replay.encode([w.encode() for w in word.dictionary.to_pylist()])
+            raw, ends = ids.astype("<i4").tobytes(), (4 * _ends(sizes)).tolist()
+            found = pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
+            table = run.drop_columns("word").append_column("ids", found.take(word.indices))
+            yield from table.to_batches(max_chunksize=10_000)
+    return replayed
+
+
+def _numbered(blocks, words):
+    """The documents of one block with their words' ids in place of the numbers."""
+    found = words["ids"].to_pylist()
+    flat = np.frombuffer(b"".join(found), "<i4")
+    length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    place = words["number"].to_numpy()
+    sizes, starts = np.zeros((2, len(found)), np.int64)
+    sizes[place], starts[place] = length, np.cumsum(length) - length
+    doc_ids, counts, numbers = (blocks[c].combine_chunks().flatten()
+                                for c in ("doc_ids", "sizes", "numbers"))
+    used = numbers.to_numpy()
+    ids, lengths = gathered(flat, starts[used], sizes[used])
+    ends = _ends(lengths)[_ends(counts.to_numpy())]
+    return pa.Table.from_arrays([doc_ids, _lists(ends, ids)], names=["doc_id", "ids"])
 
 
 def encode(docs, path=RANKS):
     """(doc_id, ids) per row of ``docs``."""
-    return texts(docs).mapInArrow(_encoder(path), "doc_id long, ids array<int>")
+    blocks = stored(texts(docs).mapInArrow(_cut, _BLOCKS).withColumn(
+        "block", F.monotonically_increasing_id()), "merge_replay")
+    words = blocks.select("block", F.posexplode("words").alias("number", "word"))
+    ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _replayer(path), "block long, number int, ids binary")
+    return blocks.drop("words").groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(
+        _numbered, "doc_id long, ids array<int>")
 
 
 def decode(rows, path=RANKS):

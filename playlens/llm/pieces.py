@@ -23,7 +23,7 @@ def keys(text):
     return cut
 
 
-class _Places(dict):
+class Places(dict):
     """Numbers keys in the order in which they are first asked for."""
 
     def __missing__(self, key):
@@ -42,7 +42,7 @@ class Lexicon:
         self.clear()
 
     def clear(self):
-        self.places, self.starts = _Places(), np.zeros(1, np.int64)
+        self.places, self.starts = Places(), np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
 
     def flat(self, texts):
