@@ -7,7 +7,6 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -43,39 +42,6 @@ def test_replay_gives_the_ids_of_the_library(odd_documents, documents, library):
         assert values(merge_replay.digests(docs)) == sorted(want, key=repr)
 
 
-def test_words_of_many_blocks(documents, library):
-    """Texts of several blocks, one longer than a block, which share words or have their own."""
-    pick = random.Random(5)
-    own = [" ".join("".join(pick.choices("aehinorst", k=6)) for _ in range(250_000))
-           for _ in range(3)]
-    docs = documents(own[0] * 3, own[0], None, own[1] + own[2], own[2], "the the", "")
-    assert len(own[0]) * 3 > merge_replay.BLOCK_BYTES
-    found = {r.doc_id: r.ids for r in merge_replay.encode(docs).collect()}
-    want = {r.doc_id: library.encode_ordinary(r.text or "") for r in docs.collect()}
-    assert found == want
-
-
-def test_blocks_name_their_words_once():
-    batch = pa.RecordBatch.from_pydict({"doc_id": [4, None, 5], "text": ["a b  a", None, " b a"]})
-    row, = [b.to_pylist()[0] for b in merge_replay._cut([batch])]
-    assert row["doc_ids"] == [4, None, 5] and row["sizes"] == [4, 0, 2]
-    assert len(set(row["words"])) == len(row["words"])
-    assert [row["words"][n] for n in row["numbers"]] == ["a", " b", " ", " a", " b", " a"]
-
-
-def test_a_word_of_many_blocks_is_replayed_once(monkeypatch):
-    seen = []
-    real = merge_replay.Replay.encode
-    monkeypatch.setattr(merge_replay.Replay, "encode",
-                        lambda self, words: seen.extend(words) or real(self, words))
-    batches = [pa.RecordBatch.from_pydict({"block": [1, 2], "number": [0, 3], "word": w})
-               for w in (["in", "in"], ["in", "the"], ["the", "the"])]
-    rows = [r for b in merge_replay._replayer(merge_replay.RANKS)(iter(batches))
-            for r in b.to_pylist()]
-    assert seen == [b"in", b"the"] and [r["block"] for r in rows] == [1, 2] * 3
-    assert len({r["ids"] for r in rows[:3]}) == len({r["ids"] for r in rows[3:]}) == 1
-
-
 def test_replay_of_random_words(library):
     pick = random.Random(3)
     replay = merge_replay.Replay(merge_replay.read_ranks())
