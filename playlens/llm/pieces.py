@@ -7,6 +7,7 @@ ids of a text are the ids of its pieces in order.
 """
 
 import re
+from itertools import islice
 
 import numpy as np
 
@@ -23,6 +24,29 @@ def keys(text):
     return cut
 
 
+def matches(pattern, new):
+    """(matches of ``pattern`` in all pieces one after another, how many each piece has).
+
+    Pieces that may follow one another in a text are matched as one text."""
+    joins = np.fromiter((p[:1] == " " and p[1:] == p.strip() != "" for p in new), bool, len(new))
+    joined = [p for p, j in zip(new, joins.tolist()) if j]
+    if len(joined) < len(new):
+        # The others are matched by themselves, in their places.
+        found, counts = matches(pattern, joined)
+        found, out = iter(found), []
+        counts_of_all = np.zeros(len(new), np.int64)
+        counts_of_all[joins] = counts
+        for i, j in enumerate(joins.tolist()):
+            own = list(islice(found, counts_of_all[i])) if j else pattern.findall(new[i])
+            counts_of_all[i] = len(own)
+            out += own
+        return out, counts_of_all
+    words = pattern.findall("".join(new))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    stops = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+    return words, np.diff(np.searchsorted(ends, np.r_[0, stops], "right"))
+
+
 class _Places(dict):
     """Numbers keys in the order in which they are first asked for."""
 

@@ -8,11 +8,12 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from playlens.llm import chat, merge_replay, mixing_coder, pieces, token_files
-from tests.conftest import values
+from tests.conftest import plan, values
 
 from .conftest import DOCS, prose
 
@@ -73,6 +74,19 @@ def test_pieces_join_to_the_text():
         assert "".join([first[0], *(" " + r for r in rest)]) == text
 
 
+def test_pieces_are_matched_as_in_their_texts():
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    new = [k[0] if type(k) is tuple else " " + k for t in [*ODD, prose(1, 50), *ODD] for k in pieces.keys(t)]
+    for some in (new, [p for p in new if p[:1] == " " and p.strip() == p[1:] != ""], []):
+        words, counts = pieces.matches(pattern, some)
+        assert [len(pattern.findall(p)) for p in some] == counts.tolist()
+        assert [w for p in some for w in pattern.findall(p)] == words
+
+
+def test_digests_take_one_worker_a_task(odd_documents):
+    assert plan(merge_replay.digests(odd_documents)).count("MapInArrow") == 1
+
+
 def test_lexicon_forgets_without_harm():
     def encode(new):
         ids = [[ord(c) for c in p] for p in new]
