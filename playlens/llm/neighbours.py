@@ -2,7 +2,9 @@
 
 Vectors are indexed in blocks of about ``BLOCK`` rows. A block holds ``PROJECTIONS`` arrays, each the
 block's vectors sorted by one random projection. A query puts a window around its own
-projection in every array and counts, per vector, the windows that hold it. Windows are
+projection in every array and counts, per vector, the windows that hold it. A window is the
+difference of two prefixes of its array; prefixes are kept as bits per vector at every ``STRIDE`` th
+place, so a window is taken whole and only the vectors at its ends one by one. Windows are
 widened step by step (virtual rehashing: each width is that of a coarser hash, but centred
 at the query). Vectors that collide in ``THRESHOLD`` of the arrays or more are verified by
 their inner product; widening ends when there are ``LEAST`` of them, and a share ``VERIFIED``
@@ -35,6 +37,8 @@ PROJECTIONS, THRESHOLD, VERIFIED, LEAST = 96, 0.75, 0.15, 256
 WIDTH, GROWTH = 0.8, 1.2
 BLOCK, QUERIES = 8192, 2048
 SEED = 20
+#: Places of an array from one mark to the next.
+STRIDE = 32
 
 
 def usable(vectors: DataFrame):
@@ -55,40 +59,82 @@ class Block:
         self.axes = np.random.default_rng(SEED).standard_normal((x.shape[1] + 1, PROJECTIONS))
         places = (np.c_[x, rest] @ self.axes).T
         order = np.argsort(places, axis=1, kind="stable")
-        # The arrays stand one after another, a gap between them; ``order`` is the vector at each place.
-        self.order = order.ravel().astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+        # The arrays stand one after another, a gap between them.
         self.gap = 4 * (np.abs(places).max(initial=0) + norm * np.abs(self.axes).max() * 64)
         self.shift = np.arange(PROJECTIONS) * self.gap
         self.arrays = (np.take_along_axis(places, order, axis=1) + self.shift[:, None]).ravel()
+        self.marks, self.order = self._marked(order)
+        self.first_mark = np.arange(PROJECTIONS) * (len(ids) // STRIDE + 1)
+        self.begins = np.arange(PROJECTIONS) * len(ids)
+        self.step, self.widths, width = 0, [], WIDTH * norm
+        while width < self.gap / 4:
+            self.widths.append(width)
+            width *= GROWTH
+        self.widths.append(self.gap / 4)  # holds whole arrays
+
+    def _marked(self, order):
+        """(marks, order): for every ``STRIDE`` th place of each array a bit per vector, set if the
+        vector stands before it; and the vectors by array and stride, filled up at the end."""
+        n = len(self.ids)
+        strides = n // STRIDE + 1
+        filled = np.full((PROJECTIONS, strides * STRIDE), n, np.int32)
+        filled[:, :n] = order
+        marks = np.zeros((PROJECTIONS, strides, -(-n // 64) * 8), np.uint8)
+        for array, vectors in zip(marks, order):
+            before = np.zeros((strides, 8 * array.shape[1]), np.uint8)
+            for i in range(1, strides):
+                before[i] = before[i - 1]
+                before[i, vectors[(i - 1) * STRIDE:i * STRIDE]] = 1
+            array[:] = np.packbits(before, axis=1)
+        return marks.reshape(PROJECTIONS * strides, -1).view(np.uint64), filled.reshape(-1, STRIDE)
+
+    def _before(self, at):
+        """(marks, vectors): who stands before place ``at`` of each array, as the bits at the last
+        mark and the vectors from there to the place."""
+        row = at // STRIDE + self.first_mark
+        return self.marks[row], self.order[row][np.arange(STRIDE) < (at % STRIDE)[:, None]]
+
+    def counts(self, low, high):
+        """Per vector, how many arrays have it at places ``low`` to ``high`` of theirs."""
+        n = len(self.ids)
+        low, less = self._before(low)
+        high, more = self._before(high)
+        # Who stands before the low place stands before the high one.
+        held = np.unpackbits((low ^ high).view(np.uint8), axis=1, count=n)
+        counts = np.add.reduce(held, axis=0, dtype=np.uint8).astype(np.int64)
+        return counts + np.bincount(more, minlength=n + 1)[:n] - np.bincount(less, minlength=n + 1)[:n]
+
+    def collided(self, centre, width):
+        """The vectors that are in enough windows of ``width`` around ``centre``."""
+        low = np.searchsorted(self.arrays, centre - width) - self.begins
+        high = np.searchsorted(self.arrays, centre + width, "right") - self.begins
+        return np.flatnonzero(self.counts(low, high) >= THRESHOLD * PROJECTIONS)
 
     def candidates(self, query, k):
         """The vectors that collide with ``query`` often enough to be verified.
 
-        Each widening visits only the places that the window did not hold before."""
+        These are those of the first width that gives enough. A wider window gives no fewer, so the
+        search for that width may start at the one of the query before."""
         n = len(self.ids)
         enough = min(n, max(k + 1, LEAST, ceil(VERIFIED * n)))
         centre = query * (self.norm / np.sqrt((query ** 2).sum())) @ self.axes[:-1] + self.shift
-        width = WIDTH * self.norm
-        low = high = np.searchsorted(self.arrays, centre)
-        counts = np.zeros(n, np.int64)
-        while True:
-            width = min(width, self.gap / 4)
-            wider_low = np.searchsorted(self.arrays, centre - width)
-            wider_high = np.searchsorted(self.arrays, centre + width, "right")
-            bounds = zip(np.r_[wider_low, high].tolist(), np.r_[low, wider_high].tolist())
-            met = np.concatenate([self.order[a:b] for a, b in bounds])
-            counts += np.bincount(met, minlength=n)
-            low, high = wider_low, wider_high
-            found = np.flatnonzero(counts >= THRESHOLD * PROJECTIONS)
-            if len(found) >= enough:
-                return found
-            width *= GROWTH
+        found = self.collided(centre, self.widths[self.step])
+        if len(found) < enough:
+            while len(found) < enough:
+                self.step += 1
+                found = self.collided(centre, self.widths[self.step])
+            return found
+        while self.step and len(
+                fewer := self.collided(centre, self.widths[self.step - 1])) >= enough:
+            self.step, found = self.step - 1, fewer
+        return found
 
     def nearest(self, query_id, query, k):
         """Up to ``k`` (place, score) among the verified, best first."""
         found = self.candidates(query, k)
         found = found[self.ids[found] != query_id]
-        rough = self.x[found] @ query
+        # Rows in place are multiplied faster than a third of them is gathered.
+        rough = (self.x @ query)[found] if 3 * len(found) > len(self.x) else self.x[found] @ query
         if len(found) > k:
             least = np.partition(rough, -k)[-k]
             near = rough >= least - 1e-9 * (1 + abs(least))

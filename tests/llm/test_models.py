@@ -63,6 +63,28 @@ def test_recall_over_blocks(spark, monkeypatch):
     assert neighbours.nearest(none, F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 31, 32, 200])
+def test_windows_are_counted_as_they_are(n, monkeypatch):
+    pick = np.random.default_rng(n)
+    monkeypatch.setattr(neighbours, "LEAST", 5)
+    x = pick.standard_normal((n, 6))
+    x[n // 2:] = x[0]  # ties
+    block = neighbours.Block(np.arange(n), x, np.sqrt((x ** 2).sum(1)).max())
+    for query in pick.standard_normal((20, 6)):
+        low = pick.integers(0, n + 1, neighbours.PROJECTIONS)
+        high = low + pick.integers(0, n + 1 - low)
+        order = np.argsort(block.arrays.reshape(-1, n), axis=1, kind="stable")
+        held = np.concatenate([block.order.reshape(neighbours.PROJECTIONS, -1)[i, a:b]
+                               for i, (a, b) in enumerate(zip(low, high))])
+        assert (order == np.arange(n)).all()
+        assert block.counts(low, high).tolist() == np.bincount(held, minlength=n).tolist()
+        # The width found is the first that gives enough, wherever the search for it begins.
+        found = []
+        for block.step in (0, len(block.widths) - 1):
+            found.append((block.candidates(query, 5).tolist(), block.step))
+        assert found[0] == found[1] and len(found[0][0]) >= min(n, 6)
+
+
 # ---- language model ---------------------------------------------------------------
 
 def plain_scores(rows):
