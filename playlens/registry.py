@@ -29,6 +29,9 @@ from playlens.streaming import pulse
 GENRE, REGION = "ECONOMY", "ASIA"
 RANGE = ("2024-01-05", "2024-01-12")
 BULK_LOADED_AT = "2024-01-16 00:00:00"
+# How the history arrays and messages of a filled lake are compressed; as text they are the most
+# that its load writes. Files of messages are read whole then, a task each.
+SENT = "lz4"
 
 QUERIES = {}
 
@@ -689,8 +692,8 @@ def filled_lake(spark, sf_dir):
     records = sample.watch_records(spark, sf_dir)
     arrays = records.groupBy(F.expr("cast(event_id AS bigint) div 10000").alias("part")).agg(
         F.to_json(F.collect_list(F.struct(*records.columns))).alias("value"))  # 10,000 each
-    arrays.write.partitionBy("part").text(f"{base}/history")
-    messages.publish(odd_messages(spark, sf_dir), "text", path=f"{base}/incoming")
+    arrays.write.partitionBy("part").text(f"{base}/history", compression=SENT)
+    messages.publish(odd_messages(spark, sf_dir), "text", path=f"{base}/incoming", compression=SENT)
     lake = pipeline.Lake(base)
     bulk = pipeline.load_bronze_bulk(
         tables.scan_json(spark, f"{base}/history/*", schemas.WATCH_EVENT, array=True), lake)

@@ -1,5 +1,7 @@
 """Bulk file and message stream to reports over written layers."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +153,11 @@ def test_checks_of_an_incomplete_lake(spark, base, events):
     assert {"stream_events", "watch_obt", "fact_watch_events"} <= set(checked.missing)
     assert checked.invalid is None and checked.orphans is None and checked.loss is None
     assert list(checked.nulls) == ["bulk_history"]
+
+
+def test_files_that_are_sent_are_compressed(spark):
+    lake, silver = registry.filled_lake(spark, SAMPLE)
+    for folder in ("history", "incoming"):
+        sent = [p for p in Path(lake.base, folder).rglob("part-*") if p.stat().st_size]
+        assert sent and all(p.name.endswith(".lz4") for p in sent)
+    assert silver.count() == spark.read.parquet(f"{SAMPLE}/events.parquet").count()
