@@ -48,6 +48,8 @@ TRIE_ROWS = 2_000_000
 #: Bytes of frequent words, of 60 and their length each, that are looked up in place.
 HOT_BYTES = 16 << 20
 BLOCK_BYTES = 2 << 20
+#: Bytes of text that are looked up at once: a worker holds some 130 bytes for each beside its table.
+LOOKUP_BYTES = 512 << 10
 _PAD = bytes([END]) * ORDER
 
 
@@ -56,7 +58,8 @@ def _windows(raw):
     raw = np.frombuffer(raw, np.uint8)
     grams = np.zeros(len(raw) - ORDER, np.uint64)
     for i in range(ORDER + 1):
-        grams = grams << np.uint64(8) | raw[i:len(raw) - ORDER + i]
+        grams <<= np.uint64(8)
+        grams |= raw[i:len(raw) - ORDER + i]
     return grams
 
 
@@ -79,7 +82,7 @@ def _grams(values, limit):
 
 
 def _count(batches):
-    limit = BLOCK_BYTES * 4
+    limit = BLOCK_BYTES * 2
     for _, values in text_blocks(batches, limit):
         for part, _ in _grams(values, limit):
             grams, counts = np.unique(part, return_counts=True)
@@ -233,6 +236,28 @@ def _per_row(places, grams, ends):
 _READ = "row long, doc_id long, symbols long, logs double, grams array<long>, counts array<long>"
 
 
+def _looked_up(batches, sent):
+    """Rows to the sums of what the frequent strings (``sent``) give, and their other strings."""
+    table = None
+    for block, values in text_blocks(batches, LOOKUP_BYTES):
+        table = table or _Table(*sent.value)
+        symbols, total, rest = np.zeros(len(values), np.int64), np.zeros(len(values)), []
+        for here, sizes in _grams(values, LOOKUP_BYTES):
+            found, there = table.find(here)
+            found[~there] = 0
+            ends = np.cumsum(sizes)
+            symbols += sizes
+            total += np.add.reduceat(found, ends - sizes)
+            rest.append(_per_row(np.flatnonzero(~there), here, ends))
+        rows, others, counts = (np.concatenate(x) for x in zip(*rest))
+        offsets = pa.array(np.searchsorted(rows, np.arange(len(values) + 1)), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [block.column("row"), block.column("doc_id"), pa.array(symbols), pa.array(total),
+             pa.ListArray.from_arrays(offsets, pa.array(others.astype(np.int64))),
+             pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64)))],
+            names=["row", "doc_id", "symbols", "logs", "grams", "counts"])
+
+
 def score(docs, trie, trie_rows=TRIE_ROWS):
     """(row, doc_id, score) of each row of ``docs`` under the trie of ``train``."""
     known = seen(trie)
@@ -242,27 +267,9 @@ def score(docs, trie, trie_rows=TRIE_ROWS):
         return placed_texts(docs).select("row", "doc_id", (lengths * -log10(256)).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast((grams, logs))
 
-    def read(batches):
-        table = None
-        for block, values in text_blocks(batches, BLOCK_BYTES):
-            table = table or _Table(*sent.value)
-            symbols, total, rest = np.zeros(len(values), np.int64), np.zeros(len(values)), []
-            for here, sizes in _grams(values, BLOCK_BYTES):
-                found, there = table.find(here)
-                found[~there] = 0
-                ends = np.cumsum(sizes)
-                symbols += sizes
-                total += np.add.reduceat(found, ends - sizes)
-                rest.append(_per_row(np.flatnonzero(~there), here, ends))
-            rows, others, counts = (np.concatenate(x) for x in zip(*rest))
-            offsets = pa.array(np.searchsorted(rows, np.arange(len(values) + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [block.column("row"), block.column("doc_id"), pa.array(symbols), pa.array(total),
-                 pa.ListArray.from_arrays(offsets, pa.array(others.astype(np.int64))),
-                 pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64)))],
-                names=["row", "doc_id", "symbols", "logs", "grams", "counts"])
-
-    rows = stored(placed_texts(docs).mapInArrow(read, _READ), "ppm_rows")
+    rows = stored(placed_texts(docs).mapInArrow(
+        lambda batches: _looked_up(batches, sent), _READ), "ppm_rows")
+    sent.unpersist()  # the rows are written; workers let go of it with their next task
     rare = rows.select("row", F.explode(F.arrays_zip("grams", "counts")).alias("x")).select(
         "row", F.col("x.grams").alias("gram"), F.col("x.counts").alias("n"))
     missing = stored(rare.select("gram").distinct().join(known, "gram", "left_anti"), "ppm_missing")
@@ -335,6 +342,7 @@ def base(docs, counts, hot_bytes=HOT_BYTES):
     rows = stored(placed_texts(docs).mapInArrow(
         read, "row long, n_tokens long, n_known long, logs double, rare array<binary>"),
         "ppm_base")
+    sent.unpersist()
     unseen = log10(ADDED)
     rare = (rows.select("row", F.explode("rare").alias("word"))
             .join(counts.filter(F.col("c") < least), "word", "left").groupBy("row").agg(
@@ -353,8 +361,8 @@ def scores(docs):
     Both models learn from the rows outside the held-out fold."""
     docs = placed(docs)
     fold = texts(docs).filter(bucket(F.col("doc_id"), FOLDS) != 0)
-    model = score(docs, train(fold))
     base_scores = base(docs, word_counts(fold))
+    model = score(docs, train(fold))
     return model.join(base_scores, "row").select(
         "doc_id", (bucket(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "n_tokens",
         "n_known", "train_tokens", "base_score", "score")

@@ -145,6 +145,34 @@ def test_scores(documents, monkeypatch, few):
         assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], atol=2e-6)
 
 
+def test_memory_of_looking_strings_up():
+    """An executor holds two such workers beside its heap; the sums are those of one text at a time."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    texts = [prose(i, 300) for i in range(900)] + [prose(7, 120_000)]
+    batch = pa.RecordBatch.from_pydict({"row": range(901), "doc_id": range(901), "text": texts})
+    known = np.unique(ppm._windows(b"".join(t.encode() for t in texts[:20])))
+    sent = SimpleNamespace(value=(known, np.arange(len(known)) / -7))
+    tracemalloc.start()
+    try:
+        found = [x for b in ppm._looked_up([batch], sent) for x in b.to_pylist()]
+        assert tracemalloc.get_traced_memory()[1] < 150e6
+    finally:
+        tracemalloc.stop()
+    logs = dict(zip(known.tolist(), sent.value[1].tolist()))
+    for i in (0, 500, 900):
+        grams = Counter(ppm._windows(ppm._PAD + texts[i].encode() + b"\xff").tolist())
+        got = found[i]
+        rest = Counter()
+        for g, n in zip(got["grams"], got["counts"]):
+            rest[g] += n
+        assert got["row"] == i and got["symbols"] == len(texts[i].encode()) + 1
+        assert {g % 2 ** 64: n for g, n in rest.items()} == {g: n for g, n in grams.items() if g not in logs}
+        assert math.isclose(got["logs"], sum(n * logs.get(g, 0) for g, n in grams.items()), abs_tol=1e-6)
+
+
 def test_scores_without_training_rows(documents, spark):
     held = [i for i in range(100) if crc32(str(i).encode()) % 10 == 0]
     out = ppm.scores(documents((held[0], "abc"))).collect()
