@@ -11,7 +11,7 @@ import xxhash
 from playlens.llm import decontaminate, simhash, suffix_dedup
 from playlens.llm.common import numbered, placed, without_rows
 from playlens.llm.components import components
-from tests.conftest import values
+from tests.conftest import plan, values
 
 from .conftest import DOCS, prose
 
@@ -154,6 +154,47 @@ def test_repeated_strings_over_segments(documents, monkeypatch):
                              for p in range(len(t.encode()) - 399))
 
 
+def test_copies_are_not_joined_to_their_counts(documents):
+    """A passage of every text, whole copies, and texts in which nothing or all is met again."""
+    shared = prose(1, 120)
+    docs = documents(*[prose(100 + i, 40) + shared + prose(200 + i, 40) for i in range(30)],
+                     *[prose(5, 150)] * 9, shared, shared[:399], prose(6, 200), None)
+    got, want = repeats(docs)
+    assert got == want
+    joins = [x for x in plan(suffix_dedup.repeated(docs)).splitlines() if "Join" in x]
+    assert joins and not any("around" in x for x in joins)
+
+
+@pytest.mark.parametrize("unit", [1, 8])
+def test_spans_over_batches(unit):
+    import pyarrow as pa
+    pick = random.Random(unit)
+    rows, want = [], {}
+    for row in (5, -3, 8, 0, 2, 9):
+        size, marks, at = pick.randint(1, 900), [], 0
+        while at < size:
+            n = min(size - at, pick.randint(1, 90))
+            marks.append((at, n, pick.random() < 0.7))
+            at += n
+        again = [(a + 1, n // 2) for a, n, once in marks if once and n > 3 and pick.random() < 0.3]
+        starts = {p for a, n, once in marks if not once for p in range(a, a + n)}
+        starts |= {p for a, n in again for p in range(a, a + n)}
+        hit = sorted({p // unit + i for p in starts if p % unit == 0 for i in range(400 // unit)})
+        want[row] = [(a, b) for a, b in zip(
+            [x for x in hit if x - 1 not in hit], [x + 1 for x in hit if x + 1 not in hit])]
+        own = [(row, 0, size, suffix_dedup.ALL)]
+        own += [(row, a, n, suffix_dedup.ONCE) for a, n, once in marks if once]
+        own += [(row, a, n, suffix_dedup.AGAIN) for a, n in again]
+        rows += pick.sample(own, len(own))
+    names = ["row", "at", "n", "kind"]
+    for step in (1, 4, 1000):
+        batches = [pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows[i:i + step]))))
+                   for i in range(0, len(rows), step)]
+        got = {x["row"]: [(s["start"], s["stop"]) for s in x["spans"]]
+               for b in suffix_dedup._merged(batches, 400, unit) for x in b.to_pylist()}
+        assert got == {r: w for r, w in want.items() if w}
+
+
 def test_removal_keeps_whole_characters(documents):
     shared = "é" * 300
     docs = documents("a" + shared, "é" + shared[:-1] + "b", "clean", None)
