@@ -158,7 +158,7 @@ def test_memory_of_looking_strings_up():
     tracemalloc.start()
     try:
         found = [x for b in ppm._looked_up([batch], sent) for x in b.to_pylist()]
-        assert tracemalloc.get_traced_memory()[1] < 150e6
+        assert tracemalloc.get_traced_memory()[1] < 60e6
     finally:
         tracemalloc.stop()
     logs = dict(zip(known.tolist(), sent.value[1].tolist()))
