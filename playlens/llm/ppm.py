@@ -17,7 +17,9 @@ The texts are read once. The most frequent strings of ``ORDER + 1`` symbols, at
 other strings, with how often it has them, are joined to the trie by a shuffle and summed up
 per row. What the trie does not hold is resolved once per distinct string, level by level,
 by joins to the tables of contexts. So neither the driver nor a broadcast holds more than
-``TRIE_ROWS`` rows of the trie, whatever its size, and no pass is added as it grows.
+``TRIE_ROWS`` rows of the trie, whatever its size, and no pass is added as it grows. Each level
+is written before the next one, which takes on the strings that are still without an end, so
+no plan holds the joins of more than one level and their stages do not all run at once.
 
 The base score is that of a unigram word model with 0.1 added to every count. Word counts are
 a grouped sum. Their most frequent words, as many as fit ``HOT_BYTES`` by count, are
@@ -32,10 +34,12 @@ word unseen; an empty table gives no rows. Other columns are ignored.
 """
 
 from collections import Counter
+from functools import reduce
 from math import fsum, log10
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.common import bucket, placed, placed_texts, stored, text_blocks, texts
@@ -140,8 +144,9 @@ def resolved(missing, found):
 
     ``found`` are its ``levels``. Tables of contexts of two symbols and fewer are small by their
     nature and broadcast; the others are joined as Spark sees fit."""
-    state = missing.select("gram", F.lit(0.0).alias("logp"), F.lit(False).alias("done"),
+    state = missing.select("gram", F.lit(0.0).alias("logp"),
                            F.lit(0).cast("long").alias("gone_n"), F.lit(0).cast("long").alias("gone_d"))
+    ended = []
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
     for k in range(ORDER, -1, -1):
         contexts = _contexts(found[k], found[k - 1] if k else None, k)
@@ -163,13 +168,14 @@ def resolved(missing, found):
         # Where everything is excluded there is nothing to escape from.
         step = F.when(hit, F.log10(F.col("hit") / space)).when(
             space > 0, F.log10(distinct / space)).otherwise(0.0)
-        state = state.select(
-            "gram", (F.col("logp") + F.when(F.col("done"), 0.0).otherwise(step)).alias("logp"),
-            (F.col("done") | hit).alias("done"), zero("excluded").alias("gone_n"),
-            zero("distinct").alias("gone_d"))
+        state = stored(state.select(
+            "gram", (F.col("logp") + step).alias("logp"), hit.alias("done"),
+            zero("excluded").alias("gone_n"), zero("distinct").alias("gone_d")), f"ppm_escaped_{k}")
+        ended.append(state.filter("done").select("gram", "logp"))
+        state = state.filter("NOT done").drop("done")
     symbols = found[0].agg(F.count("*")).first()[0]  # 256 at most
-    return state.select("gram", F.when(F.col("done"), F.col("logp")).otherwise(
-        F.col("logp") - log10(256 - symbols) if symbols < 256 else F.col("logp")).alias("logp"))
+    unseen = log10(256 - symbols) if symbols < 256 else 0.0
+    return reduce(DataFrame.unionAll, ended, state.select("gram", (F.col("logp") - unseen).alias("logp")))
 
 
 class _Table:
@@ -275,8 +281,8 @@ def score(docs, trie, trie_rows=TRIE_ROWS):
     missing = stored(rare.select("gram").distinct().join(known, "gram", "left_anti"), "ppm_missing")
     logp = known.filter(F.col("n") < least).select("gram", "logp").unionAll(
         resolved(missing, levels(trie)))
-    sums = rare.join(logp, "gram").groupBy("row").agg(
-        F.sum(F.col("n") * F.col("logp")).alias("rare_logs"))
+    sums = stored(rare.join(logp, "gram").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("logp")).alias("rare_logs")), "ppm_rare_logs")
     return rows.join(sums, "row", "left").select(
         "row", "doc_id", (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))).alias("score"))
 
@@ -315,7 +321,7 @@ def _frequent(counts, most):
 
 
 def base(docs, counts, hot_bytes=HOT_BYTES):
-    """(row, n_tokens, n_known, train_tokens, base_score) of each row of ``docs``."""
+    """(row, n_tokens, n_known, train_tokens, base_score) of each row of ``docs``, stored."""
     size, total = counts.agg(F.count("*"), F.sum("c")).first()
     total = total or 0
     below = log10(total + ADDED * (size + 1))
@@ -348,11 +354,11 @@ def base(docs, counts, hot_bytes=HOT_BYTES):
             .join(counts.filter(F.col("c") < least), "word", "left").groupBy("row").agg(
                 F.count("c").alias("rare_known"),
                 F.sum(F.coalesce(F.log10(F.col("c") + ADDED), F.lit(unseen))).alias("rare_logs")))
-    return rows.join(rare, "row", "left").select(
+    return stored(rows.join(rare, "row", "left").select(
         "row", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * below
-         ).alias("base_score"))
+         ).alias("base_score")), "ppm_base_scores")
 
 
 def scores(docs):

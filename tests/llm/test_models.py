@@ -173,6 +173,22 @@ def test_memory_of_looking_strings_up():
         assert math.isclose(got["logs"], sum(n * logs.get(g, 0) for g, n in grams.items()), abs_tol=1e-6)
 
 
+def test_scores_join_one_level_at_a_time(documents, monkeypatch):
+    """The driver holds a plan's stages and broadcasts at once, so a level's joins are run by themselves."""
+    joins, write = [], ppm.stored
+
+    def counted(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return write(df, name)
+
+    monkeypatch.setattr(ppm, "stored", counted)
+    rows = [(i, prose(i, 30)) for i in range(25)] + [(30, "xyz qq"), (40, prose(99, 500))]
+    out = counted(ppm.scores(documents(*rows)), "ppm_test")
+    assert max(joins) <= 3
+    got = {r.doc_id: r.score for r in out.collect()}
+    assert got == pytest.approx({r[0]: r[-1] for r in plain_scores(rows)}, abs=2e-6)
+
+
 def test_scores_without_training_rows(documents, spark):
     held = [i for i in range(100) if crc32(str(i).encode()) % 10 == 0]
     out = ppm.scores(documents((held[0], "abc"))).collect()
