@@ -104,10 +104,10 @@ class Counted:
     total: DataFrame
 
 
-def profiled(profile, name):
+def profiled(profile, name, count="total_rows"):
     """A profiled table as ``layer_loss`` takes it, without another scan."""
     return Counted(profile.filter(F.col("table_name") == name).select(
-        F.col("total_rows").alias("n")))
+        F.col(count).alias("n")))
 
 
 def rows(table):
@@ -115,26 +115,28 @@ def rows(table):
         F.count(F.lit(1)).alias("n"))
 
 
-def layer_loss(bronze, silver, gold):
+def layer_loss(bronze, silver, gold, events=None):
     """Events in the raw layer, rows after it, loss between them in percent, and verdicts.
 
     ``bronze`` holds all ways into the raw layer. An event counts once, however often it
     was sent; messages of which nothing was read are no events and are counted apart. An
     empty layer gives a NULL loss and a NULL verdict. ``silver`` and ``gold`` may be counted
-    before (``profiled``).
+    before (``profiled``), and so may the distinct ``events`` of ``bronze``.
     """
     def loss(before, after):
         lost = (F.col(before) - F.col(after)).cast("decimal(19,0)") * 100
         return F.try_divide(lost, F.col(before).cast("decimal(19,0)"))
 
-    events = duplicates(readable(bronze), ["event_id"]).select(
-        F.lit("bronze_events").alias("layer"), F.col("distinct_keys").alias("n"))
+    if events is None:
+        events = Counted(duplicates(readable(bronze), ["event_id"]).select(
+            F.col("distinct_keys").alias("n")))
     refused = rejected(bronze).filter("reason = 'unreadable'").select(
         F.lit("rejected_messages").alias("layer"), F.col("messages").alias("n"))
     counts = [rows(df).select(F.lit(layer).alias("layer"), "n")
-              for df, layer in ((silver, "silver_rows"), (gold, "gold_rows"))]
+              for df, layer in ((events, "bronze_events"), (silver, "silver_rows"),
+                                (gold, "gold_rows"))]
     names = ["bronze_events", "rejected_messages", "silver_rows", "gold_rows"]
-    row = reduce(DataFrame.unionByName, [events, refused, *counts]).agg(
+    row = reduce(DataFrame.unionByName, [refused, *counts]).agg(
         *[F.max(F.when(F.col("layer") == n, F.col("n"))).alias(n) for n in names])
     first, second = loss("bronze_events", "silver_rows"), loss("silver_rows", "gold_rows")
     return row.select(

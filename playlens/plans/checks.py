@@ -57,8 +57,8 @@ def check_lake(spark, lake):
 
     events = {name: df for name, df in layers.items() if name not in REFERENCES}
     silver, fact = layers.get("watch_obt"), layers.get("fact_watch_events")
-    raw = [layers[name] for name in ("bulk_history", "stream_events") if name in layers]
-    bronze = messages.combine(*raw) if raw else None
+    raw = {name: layers[name] for name in ("bulk_history", "stream_events") if name in layers}
+    bronze = messages.combine(*raw.values()) if raw else None
     small = {}
     if silver is not None:
         small["watch_obt"] = kept(quality.gathered(
@@ -81,13 +81,16 @@ def check_lake(spark, lake):
     profile = kept(reduce(DataFrame.unionByName, [
         quality.profile(name, df, ["event_id"]) for name, df in events.items()
     ])) if events else None
+    # Of one raw layer without unread messages the profile has counted the events already.
+    counted = (quality.profiled(profile, *raw, "distinct_keys")
+               if len(raw) == 1 and messages.CORRUPT not in bronze.columns else None)
     return Checks(
         profile=profile,
         nulls={name: quality.total_nulls(small[name]) for name in events},
         orphans=reduce(DataFrame.unionByName, orphans) if orphans else None,
         loss=(quality.layer_loss(
             bronze, quality.profiled(profile, "watch_obt"),
-            quality.profiled(profile, "fact_watch_events"))
+            quality.profiled(profile, "fact_watch_events"), counted)
             if all(t is not None for t in (bronze, silver, fact)) else None),
         rejected=quality.rejected(bronze) if bronze is not None else None,
         missing=missing,

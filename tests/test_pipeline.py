@@ -106,6 +106,20 @@ def test_loss_counts_both_ways_into_the_raw_layer(spark, base, events):
     assert not loss.bronze_to_silver_ok and bulk.count() == 10
 
 
+def test_loss_of_one_raw_layer_takes_the_events_that_the_profile_counted(spark, base, events):
+    lake = pipeline.Lake(base)
+    rows = events(*[{"event_id": i} for i in ("a", "a", "b", None, None)])
+    pipeline.load_gold(pipeline.load_silver(pipeline.load_bronze_bulk(rows, lake), None, lake), lake)
+    loss = checks.check_lake(spark, lake).loss
+    assert "hashpartitioning(event_id" not in plan(loss)
+    found = loss.first()
+    assert (found.bronze_events, found.silver_rows, found.gold_rows) == (3, 3, 3)
+    # With a column for unread messages only the others are events.
+    unread = rows.withColumn(messages.CORRUPT, F.lit(None).cast("string"))
+    pipeline.load_bronze_bulk(unread, lake)
+    assert checks.check_lake(spark, lake).loss.first().bronze_events == 3
+
+
 def test_other_errors_are_not_called_missing(spark, base):
     lake = pipeline.Lake(base, fmt="no_such_format")
     with pytest.raises(Exception, match="(?i)no_such_format"):
