@@ -1,7 +1,7 @@
 """Token-id files: texts encoded by the tokenizers library, stored by a context-mixing coder.
 
 Documents are put in order of ``doc_id`` by range partitions. A task encodes its documents with
-the library, each distinct piece of text once, ends each with id 0, and packs whole documents
+the library, each distinct piece or word of text once, ends each with id 0, and packs whole documents
 into frames of about ``FRAME`` ids. The file format is a Parquet table with a row per frame:
 ``part`` and ``frame`` give the order, ``doc_ids`` and ``sizes`` the documents in it, and
 ``payload`` the ids in the coder's blocks, each with its own start and checksum. So any frame
@@ -16,26 +16,31 @@ equal ones go by text. Every row gives one row. Strings of special tokens in a t
 ordinary text. Other columns are ignored.
 """
 
+import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from playlens.llm import mixing_coder
 from playlens.llm.common import text_blocks, texts
-from playlens.llm.pieces import Lexicon
+from playlens.llm.pieces import Known, Lexicon, joined_matches
 from playlens.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
-FRAME = 8 * mixing_coder.LANES * mixing_coder.STEPS
-BLOCK_BYTES = 2 << 20
-REMEMBERED = 300_000
+FRAME = mixing_coder.LANES * mixing_coder.STEPS
+BLOCK_BYTES = 4 << 20
+REMEMBERED, WORDS = 300_000, 500_000
+#: A space and what may follow it, of characters that all Unicode versions class alike: the
+#: pattern cuts such pieces as the library does, one by one or joined.
+_PLAIN = re.compile(r" (?=\S)[\t\n\r -~\xc0-\u024f]+(?<=\S)")
 _FRAMES = ("part int, frame int, doc_ids array<long>, sizes array<long>, payload binary")
 
 
@@ -46,20 +51,51 @@ def _lexicon(path):
     return Lexicon(encoder, REMEMBERED), space
 
 
+def _byte_letters():
+    """The character by which the library's byte level writes each byte, as a translation."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
 def _piece_encoder(path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(path))
     tokenizer.encode_special_tokens = True
 
-    def encode(pieces):
-        ids, sizes = [], []
+    def whole(pieces):
+        ids, sizes = [np.zeros(0, np.int32)], []
         for start in range(0, len(pieces), 4000):
             found = [x.ids for x in tokenizer.encode_batch_fast(
                 pieces[start:start + 4000], add_special_tokens=False)]
             sizes += map(len, found)
             ids.append(np.fromiter(chain.from_iterable(found), np.int32))
         return np.concatenate(ids), np.array(sizes, np.int64)
+
+    def merged(words):
+        written = "\0".join(words).encode().decode("latin-1").translate(letters)
+        found = [[t.id for t in tokenize(w)] for w in written.split(letters[0])]
+        return (np.fromiter(chain.from_iterable(found), np.int32),
+                np.fromiter(map(len, found), np.int64, len(found)))
+
+    tokenize, letters = tokenizer.model.tokenize, _byte_letters()
+    pattern, known = regex.compile(public_tokenizers.PATTERN), Known(merged, WORDS)
+
+    def encode(pieces):
+        """(ids of all, ids per piece): plain pieces are cut into matches, and the library's model
+        merges each distinct one once; the others go through the whole library."""
+        fits = [_PLAIN.fullmatch(p) is not None for p in pieces]
+        words, counts = joined_matches(pattern, list(compress(pieces, fits)))
+        ids, per_word = known.flat(words)
+        plain = np.array(fits, bool)
+        more, others = whole(list(compress(pieces, (~plain).tolist())))
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[plain] = np.diff(np.r_[0, np.cumsum(per_word)][np.r_[0, np.cumsum(counts)]])
+        sizes[~plain] = others
+        out, from_words = np.empty(int(sizes.sum()), np.int32), np.repeat(plain, sizes)
+        out[from_words], out[~from_words] = ids, more
+        return out, sizes
     return encode, tokenizer.get_vocab_size(with_added_tokens=True)
 
 

@@ -143,6 +143,27 @@ def test_token_files(odd_documents, documents, spark, base):
     assert sum(len(r.ids) for r in read) == sum(x[2] for x in plain_files(odd_documents))
 
 
+def test_words_are_merged_once_as_in_the_library(monkeypatch):
+    made = []
+    monkeypatch.setattr(token_files, "Known", lambda encode, limit: pieces.Known(
+        lambda new: made.extend(new) or encode(new), limit))
+    encode, _ = token_files._piece_encoder(token_files.TOKENIZER)
+    encode([" the", " the.\nThe", " the,"])
+    encode([" the!"])
+    assert made.count(" the") == 1
+    library = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
+    library.encode_special_tokens = True
+    lexicon = pieces.Lexicon(encode, 20)
+    for text in [*ODD, prose(3, 200), "a na\u00efve\u00d7\u00f7 don't 12ab\n\t x <|endoftext|> \u0250 \u0130I \x85 \x1c b\x1f c"]:
+        ids, sizes = lexicon.flat([text, "", text + " x"])
+        want = [library.encode(t).ids for t in (text, "", text + " x")]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
+def test_short_blocks_have_few_lanes():
+    assert len(mixing_coder.encode(list(range(300)), 50257)) < 1000
+
+
 def test_frames_follow_one_another(odd_documents, monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(token_files, "FRAME", 700)
